@@ -178,7 +178,7 @@ def morphology_rows() -> list[tuple[str, str, str]]:
     ]
 
 
-def _values_table(spark: SparkSession, rows: list[tuple[str, ...]], columns: list[str]) -> DataFrame:
+def values_table(spark: SparkSession, rows: list[tuple[str, ...]], columns: list[str]) -> DataFrame:
     # An inline VALUES relation carries exact size statistics, so Catalyst
     # itself decides on broadcasting against its own threshold.
     quoted = ", ".join(
@@ -189,9 +189,9 @@ def _values_table(spark: SparkSession, rows: list[tuple[str, ...]], columns: lis
 
 def default_lexicon(spark: SparkSession) -> DataFrame:
     """The built-in ground lexicon as a DataFrame."""
-    return _values_table(spark, ground_rows(), schemas.columns(schemas.LEXICON))
+    return values_table(spark, ground_rows(), schemas.columns(schemas.LEXICON))
 
 
 def default_morphology(spark: SparkSession) -> DataFrame:
     """The built-in morphology table as a DataFrame."""
-    return _values_table(spark, morphology_rows(), schemas.columns(schemas.MORPHOLOGY))
+    return values_table(spark, morphology_rows(), schemas.columns(schemas.MORPHOLOGY))

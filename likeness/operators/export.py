@@ -110,18 +110,10 @@ def export_records(cleaned: DataFrame) -> DataFrame:
 
 
 def _filled(cleaned: DataFrame, *names: str) -> DataFrame:
-    return cleaned.where(
-        F.lit(True)
-        if not names
-        else _all([F.coalesce(F.col(name), F.lit("")) != "" for name in names])
-    )
-
-
-def _all(conditions: list[Column]) -> Column:
-    held = conditions[0]
-    for condition in conditions[1:]:
-        held = held & condition
-    return held
+    """Rows in which none of the named text columns is null or empty."""
+    for name in names:
+        cleaned = cleaned.where(F.coalesce(F.col(name), F.lit("")) != "")
+    return cleaned
 
 
 def pair_counts(cleaned: DataFrame, first: str, second: str) -> DataFrame:

@@ -72,27 +72,33 @@ def _strict_reject_reason() -> Column:
     )
 
 
-def strict_matches(segments: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
-    """Article-pattern matches with a reject reason; '' means kept."""
+def strict_matches(
+    segments: DataFrame, lexicon: DataFrame | None = None, spec: pt.PatternSpec = pt.ARTICLE
+) -> DataFrame:
+    """Matches of a strict pattern with a reject reason; '' means kept."""
     return (
-        _phrases(pt.find_matches(segments, [pt.ARTICLE], lexicon))
+        _phrases(pt.find_matches(segments, [spec], lexicon))
         .withColumn("vehicle_head", tx.first_or_empty(F.col("tokens")))
         .withColumn("reject_reason", _strict_reject_reason())
     )
 
 
-def labelled_candidates(segments: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
-    """All article-pattern candidates, kept and rejected, in the gold layout.
+def labelled_candidates(
+    segments: DataFrame, lexicon: DataFrame | None = None, spec: pt.PatternSpec = pt.ARTICLE
+) -> DataFrame:
+    """All candidates of a strict pattern, kept and rejected, in the gold layout.
 
     ``filter_label`` is ``keep`` or ``reject``; ``ground_reference_path`` tells
     which lexicon source the ground came from.
     """
-    return _gold_columns(strict_matches(segments, lexicon), "ground_reference_path")
+    return _gold_columns(strict_matches(segments, lexicon, spec), "ground_reference_path")
 
 
-def gold_candidates(segments: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
-    """Kept article-pattern candidates (the gold table, 32 columns)."""
-    kept = strict_matches(segments, lexicon).where(F.col("reject_reason") == "")
+def gold_candidates(
+    segments: DataFrame, lexicon: DataFrame | None = None, spec: pt.PatternSpec = pt.ARTICLE
+) -> DataFrame:
+    """Kept candidates of a strict pattern (the gold table, 32 columns)."""
+    kept = strict_matches(segments, lexicon, spec).where(F.col("reject_reason") == "")
     return _gold_columns(kept)
 
 
@@ -286,3 +292,31 @@ def accepted(candidates: DataFrame) -> DataFrame:
 def not_accepted(candidates: DataFrame) -> DataFrame:
     """Candidates labelled review or reject."""
     return candidates.where(F.col("quality_label").isin("review", "reject"))
+
+
+# ---- article and variants together ---------------------------------------------
+
+
+def labelled_pairs(segments: DataFrame) -> DataFrame:
+    """Pattern, label, ground and head of article and variant candidates.
+
+    One pass finds the matches of all patterns; article rows are labelled by
+    the strict rules, the others by the variant rules.
+    """
+    specs = [pt.ARTICLE, *pt.VARIANTS.values()]
+    found = _phrases(pt.find_matches(segments, specs)).where(F.size("tokens") > 0)
+    strict = F.col("pattern_type") == pt.ARTICLE.pattern_type
+    strict_label = F.when(F.col("reject_reason") == "", "keep").otherwise("reject")
+    return (
+        label_variants(found)
+        .withColumn("vehicle_head", tx.first_or_empty(F.col("tokens")))
+        .withColumn("reject_reason", _strict_reject_reason())
+        .select(
+            "pattern_type",
+            "ground_lemma",
+            F.when(strict, F.lower("vehicle_head"))
+            .otherwise(F.col("vehicle_head_clean"))
+            .alias("vehicle_head_clean"),
+            F.when(strict, strict_label).otherwise(F.col("quality_label")).alias("quality_label"),
+        )
+    )
