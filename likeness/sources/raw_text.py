@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UNSPLITTABLE = (".gz", ".zip", ".xz", ".zst")
+SPLITS_PER_CORE = 2
 
 
 def read_lines(
@@ -62,21 +62,25 @@ def _first_lines(scanned: DataFrame) -> DataFrame:
     return blocks.withColumn("lines_before", running).drop("lines")
 
 
-def spread_lines(lines: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Spread lines of unsplittable files over the cluster.
+def has_few_splits(scan: DataFrame) -> bool:
+    """True when a plain file scan has too few splits to keep all cores busy.
 
-    One task reads a whole compressed file; this moves its lines to many tasks
-    before the CPU-heavy work.  Hash partitioning on the line key is even (the
-    key is unique) and gives the same split when a task is run again.  Without
-    ``partitions`` AQE sizes the result; a single-core session is left alone.
+    Compressed files and single row groups are read by one task each.
     """
-    if lines.sparkSession.sparkContext.defaultParallelism <= 1:
-        return lines
-    keys = ["source_file", "original_line_id"]
-    return lines.repartition(partitions, *keys) if partitions else lines.repartition(*keys)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return 1 < cores and scan.rdd.getNumPartitions() < SPLITS_PER_CORE * cores
+
 
+def spread_lines(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread lines over the cluster before CPU-heavy work.
 
-def is_unsplittable(path: str | list[str]) -> bool:
-    """True when any of the paths names a file type that one task reads whole."""
-    paths = [path] if isinstance(path, str) else path
-    return any(str(item).endswith(UNSPLITTABLE) for item in paths)
+    Meant for scans with few splits; a large splittable corpus needs no such
+    shuffle.  Hash partitioning on the line key is even (the key is unique)
+    and gives the same split when a task is run again.  A single-core session
+    is left alone.
+    """
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    if cores <= 1:
+        return lines
+    count = SPLITS_PER_CORE * cores if partitions is None else partitions
+    return lines.repartition(count, "source_file", "original_line_id")

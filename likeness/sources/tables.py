@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from likeness import schemas
 from likeness.operators.segments import bronze_segments
-from likeness.sources.raw_text import is_unsplittable, read_lines, spread_lines
+from likeness.sources.raw_text import has_few_splits, read_lines, spread_lines
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -37,7 +37,8 @@ def build_bronze(
 ) -> DataFrame:
     """Bronze segments straight from raw text files."""
     lines = read_lines(spark, input_path, line_ids)
-    return bronze_segments(spread_lines(lines) if is_unsplittable(input_path) else lines)
+    few = has_few_splits(spark.read.text(input_path))
+    return bronze_segments(spread_lines(lines) if few else lines)
 
 
 def load_or_build_bronze(

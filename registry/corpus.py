@@ -8,17 +8,16 @@ Every document is used with its whole text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from likeness.sources.raw_text import has_few_splits, spread_lines
+
 WORDS = [
-    ("of", "como"), ("the", "uma"), ("and", "forte"), ("to", "leve"), ("in", "duro"),
-    ("is", "fria"), ("it", "caiu"), ("that", "rápida"), ("for", "brilhante"),
-    ("was", "voou"), ("on", "trabalha"), ("with", "que nem"), ("by", "feito"),
-    ("as", "tem"), ("this", "claro"), ("from", "conhecido"), ("be", "alta"),
-    ("der", "como"), ("den", "um"), ("und", "doce"), ("die", "seco"),
-    ("le", "como"), ("un", "um"), ("et", "livre"), ("que", "grande"),
-    ("el", "como"), ("es", "frágil"),
+    ("of", "como"), ("the", "uma"), ("a", "um"), ("and", "forte"), ("in", "duro"),
+    ("is", "fria"), ("it", "caiu"), ("to", "leve"), ("with", "que nem"),
+    ("by", "feito"), ("from", "conhecido"),
+    ("der", "como"), ("und", "doce"), ("le", "como"), ("et", "livre"),
 ]
 
 SENTENCES = [
@@ -74,45 +73,44 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _text_table(
+    spark: SparkSession, sf_dir: str, name: str, source: Column, line: str, text: str
+) -> DataFrame:
+    lines = _table(spark, sf_dir, name).select(
+        source.alias("source_file"),
+        F.col(line).alias("original_line_id"),
+        F.col(text).alias("raw_text"),
+    )
+    # The driver's tables are one row group each, so one task would read all.
+    return spread_lines(lines) if has_few_splits(lines) else lines
+
+
 def corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-worded documents as raw lines with segment markers."""
-    text = F.replace(F.col("text"), F.lit("\n"), F.lit(" <END> "))
+    text = F.replace(F.col("raw_text"), F.lit("\n"), F.lit(" <END> "))
     for english, portuguese in WORDS:
         text = F.replace(text, F.lit(f" {english} "), F.lit(f" {portuguese} "))
     sentences = F.array(*[F.lit(sentence) for sentence in SENTENCES])
-    sentence = F.get(sentences, F.pmod("doc_id", F.lit(len(SENTENCES))).cast("int"))
-    return _table(spark, sf_dir, "documents").select(
-        F.col("source").alias("source_file"),
-        F.col("doc_id").alias("original_line_id"),
-        F.concat(text, F.lit(" <END> "), sentence, F.lit(" <END>  ")).alias("raw_text"),
+    sentence = F.get(sentences, F.pmod("original_line_id", F.lit(len(SENTENCES))).cast("int"))
+    return document_lines(spark, sf_dir).withColumn(
+        "raw_text", F.concat(text, F.lit(" <END> "), sentence, F.lit(" <END>  "))
     )
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unmodified documents as raw lines."""
-    return _table(spark, sf_dir, "documents").select(
-        F.col("source").alias("source_file"),
-        F.col("doc_id").alias("original_line_id"),
-        F.col("text").alias("raw_text"),
-    )
+    return _text_table(spark, sf_dir, "documents", F.col("source"), "doc_id", "text")
 
 
 def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unmodified web pages as raw lines."""
-    return _table(spark, sf_dir, "pages").select(
-        F.col("url").alias("source_file"),
-        F.col("page_id").alias("original_line_id"),
-        F.col("html").alias("raw_text"),
-    )
+    return _text_table(spark, sf_dir, "pages", F.col("url"), "page_id", "html")
 
 
 def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unmodified conversation turns as raw lines."""
-    return _table(spark, sf_dir, "conversations").select(
-        F.concat_ws("-", F.col("conv_id"), F.col("role")).alias("source_file"),
-        F.col("turn").alias("original_line_id"),
-        F.col("text").alias("raw_text"),
-    )
+    source = F.concat_ws("-", F.col("conv_id"), F.col("role"))
+    return _text_table(spark, sf_dir, "conversations", source, "turn", "text")
 
 
 def benchmark_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
