@@ -98,8 +98,12 @@ def gold_candidates(
     segments: DataFrame, lexicon: DataFrame | None = None, spec: pt.PatternSpec = pt.ARTICLE
 ) -> DataFrame:
     """Kept candidates of a strict pattern (the gold table, 32 columns)."""
-    kept = strict_matches(segments, lexicon, spec).where(F.col("reject_reason") == "")
-    return _gold_columns(kept)
+    return gold_from_matches(strict_matches(segments, lexicon, spec))
+
+
+def gold_from_matches(matches: DataFrame) -> DataFrame:
+    """Gold columns of the matches without a reject reason."""
+    return _gold_columns(matches.where(F.col("reject_reason") == ""))
 
 
 def _gold_columns(matches: DataFrame, *extra: str) -> DataFrame:
