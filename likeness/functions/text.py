@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}_]"
@@ -97,6 +97,26 @@ def end_of_token(phrase: Column, count: Column, most: int) -> Column:
     return chain.otherwise(F.lit(0))
 
 
+def one_of(text: Column, words: Iterable[str]) -> Column:
+    """True when the text is one of the words.
+
+    The list is one constant array written as SQL text: building an ``isin``
+    of a hundred words costs a hundred calls into the JVM.
+    """
+    quoted = ", ".join("'" + word.replace("'", "\\'") + "'" for word in words)
+    return F.array_contains(F.expr(f"array({quoted})"), text)
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters are not pushed through.
+
+    A filter on a plain column is moved down and evaluates the column's whole
+    expression a second time; one on a generated column stays above it.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def any_of(words: Iterable[str]) -> str:
     """Regex alternation of plain words, longest first."""
     return "|".join(sorted(set(words), key=lambda word: (-len(word), word)))

@@ -113,14 +113,14 @@ def noise_profile(gold: DataFrame) -> DataFrame:
     head = F.lower("vehicle_head")
 
     def tail_has(words: list[str]) -> Column:
-        return F.exists("tail", lambda t: t.isin(words))
+        return F.exists("tail", lambda t: tx.one_of(t, words))
 
     signals = {
         "preposition_after_head": tail_has(PREPOSITIONS),
         "reaches_maximum_length": F.size("tokens") >= STRICT_MAX_TOKENS,
         "pronoun_after_head": tail_has(PRONOUNS),
         "conjunction_after_head": tail_has(CONJUNCTIONS),
-        "generic_or_modifier_head": head.isin(MODIFIER_HEADS + lx.STRICT_GENERIC_HEADS),
+        "generic_or_modifier_head": tx.one_of(head, MODIFIER_HEADS + lx.STRICT_GENERIC_HEADS),
         "finite_verb_tail": tail_has(FINITE_VERBS),
         "capitalized_multi_token": (F.size("tokens") > 1)
         & F.forall("tokens", lambda t: t.rlike(r"^\p{Lu}")),
@@ -143,7 +143,7 @@ def with_use_type(gold: DataFrame) -> DataFrame:
     use = (
         F.when(F.col("vehicle_text").rlike(r"\p{Nd}"), "noise")
         .when(ground.isin(IDIOM_GROUNDS) & head.isin(IDIOM_HEADS), "idiom")
-        .when((ground == "trabalhar") | head.isin(lx.ROLE_HEADS), "role")
+        .when((ground == "trabalhar") | tx.one_of(head, lx.ROLE_HEADS), "role")
         .when(named, "classification")
         .when(ground.isin(EXTENT_GROUNDS) & head.isin(EXTENT_HEADS), "literal_extent")
         .otherwise("comparison")

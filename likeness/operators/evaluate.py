@@ -18,6 +18,10 @@ WINDOW_PROMOTE_RATE = 0.90
 BARE_ITERATE_RATE = 0.55
 V2_PROMOTE_RATE = 0.60
 NO_REASON = "none"
+NOT_ACCEPTED_REASONS = """
+missing_vehicle bad_definite_article_vehicle bad_vehicle_start
+generic_or_role_like_vehicle_head vehicle_noise capitalized_multi_token_vehicle
+""".split()
 
 
 def new_pairs(pairs: DataFrame, baseline: DataFrame) -> DataFrame:
@@ -47,21 +51,6 @@ def match_cells(matches: DataFrame) -> DataFrame:
     )
 
 
-def top_reasons(cells: DataFrame) -> DataFrame:
-    """The most frequent review or reject reason per pattern."""
-    reasons = (
-        cells.where(~_is_accepted() & (F.col("n") > 0))
-        .groupBy("pattern_type", "quality_reason")
-        .agg(F.sum("n").alias("n"))
-    )
-    best = F.min(F.struct((-F.col("n")).alias("n"), "quality_reason"))
-    return (
-        reasons.groupBy("pattern_type")
-        .agg(best.alias("best"))
-        .select("pattern_type", F.col("best.quality_reason").alias("top_reason"))
-    )
-
-
 def top_reject_reason(candidates: DataFrame) -> DataFrame:
     """The most frequent reason among not accepted candidates, per pattern."""
     reasons = (
@@ -77,7 +66,11 @@ def top_reject_reason(candidates: DataFrame) -> DataFrame:
 
 
 def _metrics(cells: DataFrame, pattern_types: list[str]) -> DataFrame:
-    """Metrics per pattern; patterns without any match get a row of zeros."""
+    """Metrics per pattern; patterns without any match get a row of zeros.
+
+    One aggregate over the cells: the reasons are a fixed list, so their counts
+    are columns and the most frequent one needs no second grouping.
+    """
     taken = _is_accepted() & (F.col("n") > 0)
     ground = F.when(taken, F.col("ground_lemma"))
     head = F.when(taken, F.col("vehicle_head_clean"))
@@ -89,21 +82,30 @@ def _metrics(cells: DataFrame, pattern_types: list[str]) -> DataFrame:
         F.count_distinct(ground).alias("distinct_grounds"),
         F.count_distinct(head).alias("distinct_vehicle_heads"),
         F.count_distinct(pair).alias("distinct_pairs"),
+        *[
+            F.sum(F.when(F.col("quality_reason") == reason, F.col("n")).otherwise(0)).alias(reason)
+            for reason in NOT_ACCEPTED_REASONS
+        ],
     )
-    named = lx.values_table(cells.sparkSession, [(n,) for n in pattern_types], ["pattern_type"])
-    counts = [name for name in sums.columns if name != "pattern_type"]
-    return (
-        named.join(sums, "pattern_type", "left")
-        .join(top_reasons(cells), "pattern_type", "left")
-        .withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in counts})
-        .select(
-            F.col("pattern_type").alias("experiment_slug"),
-            *counts,
-            F.coalesce(
-                F.try_divide("accepted_rows", "candidate_rows"), F.lit(0.0)
-            ).alias("accepted_rate"),
-            F.coalesce("top_reason", F.lit(NO_REASON)).alias("top_false_positive_reason"),
+    top = F.array_min(
+        F.array(
+            *[
+                F.when(F.col(reason) > 0, F.struct((-F.col(reason)).alias("n"), F.lit(reason).alias("reason")))
+                for reason in NOT_ACCEPTED_REASONS
+            ]
         )
+    )["reason"]
+    counts = """
+    prefiltered_rows candidate_rows accepted_rows distinct_grounds distinct_vehicle_heads
+    distinct_pairs
+    """.split()
+    rate = F.try_divide("accepted_rows", "candidate_rows")
+    named = lx.values_table(cells.sparkSession, [(n,) for n in pattern_types], ["pattern_type"])
+    return named.join(sums, "pattern_type", "left").select(
+        F.col("pattern_type").alias("experiment_slug"),
+        *[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in counts],
+        F.coalesce(rate, F.lit(0.0)).alias("accepted_rate"),
+        F.coalesce(top, F.lit(NO_REASON)).alias("top_false_positive_reason"),
     )
 
 
@@ -147,14 +149,8 @@ def pair_cells(candidates: DataFrame) -> DataFrame:
     )
 
 
-def strategy_table(cells: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Overlap of every variant's accepted pairs with the baseline pairs.
-
-    ``cells`` comes from :func:`pair_cells`, ``baseline`` holds distinct
-    ``ground_lemma, vehicle_head_clean``.
-    """
-    keys = ["ground_lemma", "vehicle_head_clean"]
-    marked = cells.join(baseline.select(*keys, F.lit(True).alias("known")), keys, "left")
+def _strategy_columns(overlap: DataFrame) -> DataFrame:
+    """Strategy rows from ``pattern_type, n, accepted, known`` per pair."""
     is_pair = F.col("accepted") > 0
     slug = F.col("experiment_slug")
     strategy = (
@@ -169,30 +165,57 @@ def strategy_table(cells: DataFrame, baseline: DataFrame) -> DataFrame:
         .otherwise("do not use for first viz: split/redesign connector experiment")
     )
     return (
-        marked.groupBy(F.col("pattern_type").alias("experiment_slug"))
+        overlap.groupBy(F.col("pattern_type").alias("experiment_slug"))
         .agg(
             F.sum("accepted").alias("accepted_rows"),
             (F.sum("accepted") / F.sum("n")).alias("accepted_rate"),
             F.count_if(is_pair).alias("accepted_distinct_pairs"),
-            F.count_if(is_pair & F.col("known").isNotNull()).alias("baseline_overlapping_pairs"),
-            F.count_if(is_pair & F.col("known").isNull()).alias("new_pairs_vs_baseline"),
+            F.count_if(is_pair & F.col("known")).alias("baseline_overlapping_pairs"),
+            F.count_if(is_pair & ~F.col("known")).alias("new_pairs_vs_baseline"),
         )
         .withColumn("dataset_strategy", strategy)
         .orderBy(F.desc("accepted_rows"), "experiment_slug")
     )
 
 
+def strategy_table(cells: DataFrame, baseline: DataFrame) -> DataFrame:
+    """Overlap of every variant's accepted pairs with the baseline pairs.
+
+    ``cells`` comes from :func:`pair_cells`, ``baseline`` holds distinct
+    ``ground_lemma, vehicle_head_clean``.
+    """
+    keys = ["ground_lemma", "vehicle_head_clean"]
+    marked = cells.join(baseline.select(*keys, F.lit(True).alias("_known")), keys, "left")
+    return _strategy_columns(marked.withColumn("known", F.col("_known").isNotNull()))
+
+
 def strategy_from_segments(segments: DataFrame) -> DataFrame:
     """Strategy table for all variants from one scan of the segments.
 
-    Article and variant matches come out of the same pass; both are reduced to
-    pair cells, and the baseline is the article part of those cells.
+    Article and variant candidates come out of the same pass and are reduced
+    to one row per pair with a count per pattern, so no join is needed: a pair
+    is known when its row counts an accepted article candidate.
     """
-    article = pt.ARTICLE.pattern_type
-    cells = pair_cells(ex.labelled_pairs(segments))
-    is_base = F.col("pattern_type") == article
-    baseline = cells.where(is_base & (F.col("accepted") > 0))
-    return strategy_table(cells.where(~is_base), baseline)
+    names = list(pt.VARIANTS)
+    pattern = F.col("pattern_type")
+    counted = []
+    for i, name in enumerate(names):
+        counted.append(F.count_if(pattern == name).alias(f"n_{i}"))
+        counted.append(F.count_if((pattern == name) & _is_accepted()).alias(f"accepted_{i}"))
+    known = F.count_if((pattern == pt.ARTICLE.pattern_type) & _is_accepted()) > 0
+    pairs = ex.labelled_pairs(segments).groupBy("ground_lemma", "vehicle_head_clean")
+    per_pattern = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("pattern_type"),
+                F.col(f"n_{i}").alias("n"),
+                F.col(f"accepted_{i}").alias("accepted"),
+            )
+            for i, name in enumerate(names)
+        ]
+    )
+    wide = pairs.agg(known.alias("known"), *counted)
+    return _strategy_columns(wide.select("known", F.inline(per_pattern)).where(F.col("n") > 0))
 
 
 def quality_notes(candidates: DataFrame) -> DataFrame:

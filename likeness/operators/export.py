@@ -39,12 +39,12 @@ def clean_candidates(candidates: DataFrame) -> DataFrame:
     raw = _text_or(candidates, "vehicle_text_raw", F.col("vehicle_text"))
     tokens = F.col("_tokens")
     size = F.size(tokens)
-    later = F.transform(tx.drop_first(tokens), lambda t: F.lower(t).isin(lx.CLAUSE_STARTS))
+    later = F.transform(tx.drop_first(tokens), lambda t: tx.one_of(F.lower(t), lx.CLAUSE_STARTS))
     clause_at = F.array_position(later, True).cast("int")
     head = F.lower(tx.first_or_empty(tokens))
     rule = (
         F.when((size > 1) & (clause_at > 0), "trimmed_clause_start")
-        .when((size > 1) & head.isin(lx.CLEANUP_HEADS), "trimmed_common_head_tail")
+        .when((size > 1) & tx.one_of(head, lx.CLEANUP_HEADS), "trimmed_common_head_tail")
         .otherwise("unchanged")
     )
     kept = (

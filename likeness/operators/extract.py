@@ -64,8 +64,8 @@ def _strict_reject_reason() -> Column:
         F.when(F.size("tokens") == 0, "missing_ground_or_vehicle")
         .when(F.size("tokens") > STRICT_MAX_TOKENS, "vehicle_too_long")
         .when(~head.rlike(STARTS_WITH_LETTER), "bad_vehicle_start")
-        .when(head.isin(lx.STRICT_BAD_STARTS), "bad_vehicle_start")
-        .when(head.isin(lx.STRICT_GENERIC_HEADS), "generic_vehicle_head")
+        .when(tx.one_of(head, lx.STRICT_BAD_STARTS), "bad_vehicle_start")
+        .when(tx.one_of(head, lx.STRICT_GENERIC_HEADS), "generic_vehicle_head")
         .when(F.exists("tokens", lambda t: t.rlike(ALL_DIGITS)), "vehicle_noise")
         .when(role.rlike(tx.stem_after_boundary(lx.ROLE_STEMS)), "role_or_classification_context")
         .otherwise("")
@@ -76,11 +76,12 @@ def strict_matches(
     segments: DataFrame, lexicon: DataFrame | None = None, spec: pt.PatternSpec = pt.ARTICLE
 ) -> DataFrame:
     """Matches of a strict pattern with a reject reason; '' means kept."""
-    return (
-        _phrases(pt.find_matches(segments, [spec], lexicon))
-        .withColumn("vehicle_head", tx.first_or_empty(F.col("tokens")))
-        .withColumn("reject_reason", _strict_reject_reason())
-    )
+    return _label_strict(_phrases(pt.find_matches(segments, [spec], lexicon)))
+
+
+def _label_strict(phrases: DataFrame) -> DataFrame:
+    headed = phrases.withColumn("vehicle_head", tx.first_or_empty(F.col("tokens")))
+    return tx.computed_once(headed, reject_reason=_strict_reject_reason())
 
 
 def labelled_candidates(
@@ -156,13 +157,13 @@ def _selected_length(tokens: Column) -> Column:
 
     def may_follow(index: int) -> Column:
         token = F.lower(F.get(tokens, F.lit(index)))
-        return token.isNotNull() & ~token.isin(lx.STOP_TAIL_TOKENS)
+        return token.isNotNull() & ~tx.one_of(token, lx.STOP_TAIL_TOKENS)
 
     second = F.lower(F.get(tokens, F.lit(1)))
     return (
         F.when(~may_follow(1), 1)
         .when(~may_follow(2), 2)
-        .when(second.isin(lx.COMPLEMENT_PREPOSITIONS) & may_follow(3), 4)
+        .when(tx.one_of(second, lx.COMPLEMENT_PREPOSITIONS) & may_follow(3), 4)
         .otherwise(3)
     )
 
@@ -175,15 +176,12 @@ def _variant_decision() -> Column:
     """Label, reason and review flag; the first rule that holds wins."""
     raw, selected = F.col("tokens"), F.col("selected")
     head = F.col("vehicle_head_clean")
-    led_by_article = F.col("strip_article") & F.lower(F.get(selected, F.lit(0))).isin(
-        lx.DEFINITE_ARTICLES
-    )
-    bad_after_article = (
-        (F.size(raw) < 2)
-        | head.isin(lx.ARTICLE_REJECT_HEADS)
-        | head.isin(lx.VARIANT_BAD_STARTS)
+    led_by_article = F.col("strip_article") & tx.one_of(
+        F.lower(F.get(selected, F.lit(0))), lx.DEFINITE_ARTICLES
     )
-    bad_start = ~head.rlike(STARTS_WITH_LETTER) | head.isin(lx.VARIANT_BAD_STARTS)
+    listed = tx.one_of(head, lx.VARIANT_BAD_STARTS)
+    bad_after_article = (F.size(raw) < 2) | tx.one_of(head, lx.ARTICLE_REJECT_HEADS) | listed
+    bad_start = ~head.rlike(STARTS_WITH_LETTER) | listed
     capitalised = (F.size(selected) > 1) & F.forall(selected, lambda t: t.rlike(STARTS_UPPER))
 
     def decided(label: str, reason: str, review: bool) -> Column:
@@ -201,7 +199,7 @@ def _variant_decision() -> Column:
         )
         .when(bad_start, decided("reject", "bad_vehicle_start", True))
         .when(
-            head.isin(lx.VARIANT_GENERIC_HEADS),
+            tx.one_of(head, lx.VARIANT_GENERIC_HEADS),
             decided("review", "generic_or_role_like_vehicle_head", True),
         )
         .when(
@@ -237,20 +235,20 @@ def label_variants(phrases: DataFrame) -> DataFrame:
     has_article = (
         F.col("strip_article")
         & (F.size(tokens) >= 2)
-        & F.lower(F.get(tokens, F.lit(0))).isin(lx.DEFINITE_ARTICLES)
+        & tx.one_of(F.lower(F.get(tokens, F.lit(0))), lx.DEFINITE_ARTICLES)
     )
     after_article = F.slice(tokens, F.lit(2), F.lit(VARIANT_MAX_TOKENS))
-    return (
+    chosen = (
         phrases.withColumn("strip_article", F.col("pattern_type").isin(stripping))
         .withColumn("selected", _selected(tokens))
         .withColumn(
             "clean", F.when(has_article, _selected(after_article)).otherwise(F.col("selected"))
         )
-        .withColumn("vehicle_head_clean", F.lower(tx.first_or_empty(F.col("clean"))))
-        .withColumn("decision", _variant_decision())
-        .select("*", "decision.*")
-        .drop("decision")
     )
+    headed = tx.computed_once(
+        chosen, vehicle_head_clean=F.lower(tx.first_or_empty(F.col("clean")))
+    )
+    return headed.select("*", F.inline(F.array(_variant_decision())))
 
 
 def variant_columns(matches: DataFrame) -> DataFrame:
@@ -311,16 +309,11 @@ def labelled_pairs(segments: DataFrame) -> DataFrame:
     found = _phrases(pt.find_matches(segments, specs)).where(F.size("tokens") > 0)
     strict = F.col("pattern_type") == pt.ARTICLE.pattern_type
     strict_label = F.when(F.col("reject_reason") == "", "keep").otherwise("reject")
-    return (
-        label_variants(found)
-        .withColumn("vehicle_head", tx.first_or_empty(F.col("tokens")))
-        .withColumn("reject_reason", _strict_reject_reason())
-        .select(
-            "pattern_type",
-            "ground_lemma",
-            F.when(strict, F.lower("vehicle_head"))
-            .otherwise(F.col("vehicle_head_clean"))
-            .alias("vehicle_head_clean"),
-            F.when(strict, strict_label).otherwise(F.col("quality_label")).alias("quality_label"),
-        )
+    return _label_strict(label_variants(found)).select(
+        "pattern_type",
+        "ground_lemma",
+        F.when(strict, F.lower("vehicle_head"))
+        .otherwise(F.col("vehicle_head_clean"))
+        .alias("vehicle_head_clean"),
+        F.when(strict, strict_label).otherwise(F.col("quality_label")).alias("quality_label"),
     )

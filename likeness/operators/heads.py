@@ -53,7 +53,7 @@ def _decision(head: Column, lemma: Column, pos: Column) -> Column:
         )
 
     def is_in(words: list[str]) -> Column:
-        return lemma.isin(words) | head.isin(words)
+        return tx.one_of(lemma, words) | tx.one_of(head, words)
 
     return (
         F.when(head == "", decided("reject", F.lit("missing_vehicle_head"), True))
@@ -61,11 +61,11 @@ def _decision(head: Column, lemma: Column, pos: Column) -> Column:
         .when(is_in(lx.ROLE_HEADS), decided("reject", F.lit("role_head_lexicon"), True))
         .when(full_text.rlike(_ROLE_CONTEXT), decided("review", F.lit("role_context"), True))
         .when(
-            pos.isin(lx.NON_NOMINAL_POS),
+            tx.one_of(pos, lx.NON_NOMINAL_POS),
             decided("reject", F.concat(F.lit("bad_spacy_pos_"), F.lower(pos)), True),
         )
         .when(
-            lemma.rlike(_ROLE_SUFFIX) & pos.isin(lx.NOMINAL_POS),
+            lemma.rlike(_ROLE_SUFFIX) & tx.one_of(pos, lx.NOMINAL_POS),
             decided("review", F.lit("role_like_suffix"), True),
         )
         .when(
@@ -131,12 +131,10 @@ def with_tagger(
 
 def label_heads(tagged: DataFrame) -> DataFrame:
     """Append the five head-label columns to tagged candidates."""
-    labels = [name for name in schemas.columns(schemas.HEAD_LABELS)]
+    labels = schemas.columns(schemas.HEAD_LABELS)
+    decision = _decision(_head(), F.col("head_lemma"), F.col("head_pos"))
     return (
-        tagged.withColumn(
-            "_decision", _decision(_head(), F.col("head_lemma"), F.col("head_pos"))
-        )
-        .select("*", "_decision.*")
+        tagged.select("*", F.inline(F.array(decision)))
         .withColumnsRenamed(
             {"head_lemma": "spacy_vehicle_head_lemma", "head_pos": "spacy_vehicle_head_pos"}
         )

@@ -156,7 +156,7 @@ def _tagged_hits(text: Column, same: list[PatternSpec], built_in: bool) -> Colum
     hits = _hits(text, same[0])
     if built_in:
         forms = lx.ground_forms(same[0].ground_types)
-        hits = F.filter(hits, lambda hit: F.lower(hit["ground_text"]).isin(forms))
+        hits = F.filter(hits, lambda hit: tx.one_of(F.lower(hit["ground_text"]), forms))
     names = F.array(*[F.lit(spec.pattern_type) for spec in same])
     return F.flatten(
         F.transform(

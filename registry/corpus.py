@@ -87,13 +87,13 @@ def _text_table(
 
 def corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-worded documents as raw lines with segment markers."""
-    text = F.replace(F.col("raw_text"), F.lit("\n"), F.lit(" <END> "))
+    text = "replace(raw_text, '\\n', ' <END> ')"
     for english, portuguese in WORDS:
-        text = F.replace(text, F.lit(f" {english} "), F.lit(f" {portuguese} "))
-    sentences = F.array(*[F.lit(sentence) for sentence in SENTENCES])
-    sentence = F.get(sentences, F.pmod("original_line_id", F.lit(len(SENTENCES))).cast("int"))
+        text = f"replace({text}, ' {english} ', ' {portuguese} ')"
+    sentences = ", ".join(f"'{sentence}'" for sentence in SENTENCES)
+    sentence = f"get(array({sentences}), int(pmod(original_line_id, {len(SENTENCES)})))"
     return document_lines(spark, sf_dir).withColumn(
-        "raw_text", F.concat(text, F.lit(" <END> "), sentence, F.lit(" <END>  "))
+        "raw_text", F.expr(f"concat({text}, ' <END> ', {sentence}, ' <END>  ')")
     )
 
 
