@@ -24,8 +24,18 @@ STARTS_WITH_LETTER = r"^\p{L}"
 STARTS_UPPER = r"^\p{Lu}"
 
 
+def match_phrases(
+    segments: DataFrame, specs: list[pt.PatternSpec], lexicon: DataFrame | None = None
+) -> DataFrame:
+    """Matches with left context, vehicle phrase and its tokens.
+
+    This is the only step that reads the corpus.  Its result is small, holds
+    everything the labels need and may be stored for several consumers.
+    """
+    return _phrases(pt.find_matches(segments, specs, lexicon))
+
+
 def _phrases(matches: DataFrame) -> DataFrame:
-    """Left context, vehicle phrase and its tokens for every match."""
     text = F.col("text_normalized")
     left = F.rtrim(tx.head_to(text, F.col("ground_start")))
     return (
@@ -76,10 +86,11 @@ def strict_matches(
     segments: DataFrame, lexicon: DataFrame | None = None, spec: pt.PatternSpec = pt.ARTICLE
 ) -> DataFrame:
     """Matches of a strict pattern with a reject reason; '' means kept."""
-    return _label_strict(_phrases(pt.find_matches(segments, [spec], lexicon)))
+    return label_strict(match_phrases(segments, [spec], lexicon))
 
 
-def _label_strict(phrases: DataFrame) -> DataFrame:
+def label_strict(phrases: DataFrame) -> DataFrame:
+    """Vehicle head and reject reason of matched phrases."""
     headed = phrases.withColumn("vehicle_head", tx.first_or_empty(F.col("tokens")))
     return tx.computed_once(headed, reject_reason=_strict_reject_reason())
 
@@ -103,10 +114,15 @@ def gold_candidates(
 
 
 def gold_from_matches(matches: DataFrame) -> DataFrame:
-    """Gold columns of the matches without a reject reason."""
+    """Gold columns of the labelled matches without a reject reason."""
     return _gold_columns(matches.where(F.col("reject_reason") == ""))
 
 
+def of_patterns(phrases: DataFrame, *pattern_types: str) -> DataFrame:
+    """The rows of some patterns out of a shared match table."""
+    return phrases.where(F.col("pattern_type").isin(list(pattern_types)))
+
+
 def _gold_columns(matches: DataFrame, *extra: str) -> DataFrame:
     used = F.slice("tokens", 1, STRICT_MAX_TOKENS)
     count = F.size("vehicle_tokens")
@@ -225,7 +241,7 @@ def variant_matches(
     those rows counts the segments that hold the pattern.
     """
     specs = [pt.variant(name) for name in pattern_types]
-    return label_variants(_phrases(pt.find_matches(segments, specs, lexicon)))
+    return label_variants(match_phrases(segments, specs, lexicon))
 
 
 def label_variants(phrases: DataFrame) -> DataFrame:
@@ -306,10 +322,10 @@ def labelled_pairs(segments: DataFrame) -> DataFrame:
     the strict rules, the others by the variant rules.
     """
     specs = [pt.ARTICLE, *pt.VARIANTS.values()]
-    found = _phrases(pt.find_matches(segments, specs)).where(F.size("tokens") > 0)
+    found = match_phrases(segments, specs).where(F.size("tokens") > 0)
     strict = F.col("pattern_type") == pt.ARTICLE.pattern_type
     strict_label = F.when(F.col("reject_reason") == "", "keep").otherwise("reject")
-    return _label_strict(label_variants(found)).select(
+    return label_strict(label_variants(found)).select(
         "pattern_type",
         "ground_lemma",
         F.when(strict, F.lower("vehicle_head"))

@@ -6,8 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from likeness.operators import extract as ex
+from likeness.operators import patterns as pt
 from likeness.plans import gold as gp
 from likeness.plans import variants as vp
+from likeness.session import staged
 from likeness.sources.tables import load_or_build_bronze
 
 
@@ -48,14 +51,18 @@ def run(
 ) -> dict[str, object]:
     """Build bronze if missing, then gold, reports, export, variants and merged set.
 
+    The bronze table is scanned once: the matches of all patterns are stored
+    and every output is made from them.
     Returns the export manifest.
     """
     at = Layout.below(root)
     segments = load_or_build_bronze(spark, input_path, at.bronze)
-    gold, _ = gp.write_gold(segments, at.gold)
+    specs = [pt.ARTICLE, *pt.VARIANTS.values()]
+    phrases = staged(ex.match_phrases(segments, specs), "matches")
+    gold, _ = gp.write_gold(phrases, at.gold)
     gp.write_gold_reports(gold, at.reports)
     manifest = gp.write_export(gold, at.export, "comparisons", at.gold, generated_at)
-    candidates = vp.write_variants(segments, at.variants, at.variant_reports)
+    candidates = vp.write_variants(phrases, at.variants, at.variant_reports)
     vp.write_strategy(candidates, gold, at.variant_reports)
     labelled = vp.write_head_labels(candidates, at.variants, at.variant_reports, morphology)
     vp.write_merged(gold, labelled, at.merged, at.merged_reports)

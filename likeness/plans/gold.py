@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from likeness.operators import counts as ct
 from likeness.operators import export as xp
 from likeness.operators import extract as ex
+from likeness.operators import patterns as pt
 from likeness.operators import samples as sm
 from likeness.session import cached
 from likeness.sinks.files import write_csv_tables, write_json_tables, write_parquet
@@ -15,15 +16,17 @@ from likeness.sources.tables import read_gold
 
 
 def write_gold(
-    segments: DataFrame, path: str, mode: str = "overwrite", lexicon: DataFrame | None = None
+    phrases: DataFrame, path: str, mode: str = "overwrite"
 ) -> tuple[DataFrame, dict[str, int]]:
-    """Extract, write and re-read the gold table.
+    """Label article matches, write and re-read the gold table.
 
-    Also returns row counts observed during the write: matches found, segments
-    that held one, and candidates kept.  No extra pass is made for them.
+    ``phrases`` comes from ``match_phrases``.  Also returns row counts observed
+    during the write: matches found, segments that held one, and candidates
+    kept.  No extra pass is made for them.
     """
     seen = Observation("gold")
-    matches = ex.strict_matches(segments, lexicon).observe(
+    article = ex.of_patterns(phrases, pt.ARTICLE.pattern_type)
+    matches = ex.label_strict(article).observe(
         seen,
         F.count(F.lit(1)).alias("match_rows"),
         F.coalesce(F.sum((F.col("nth") == 0).cast("long")), F.lit(0)).alias("prefiltered_rows"),
@@ -32,7 +35,7 @@ def write_gold(
         ),
     )
     write_parquet(ex.gold_from_matches(matches), path, mode)
-    return read_gold(segments.sparkSession, path), dict(seen.get)
+    return read_gold(phrases.sparkSession, path), dict(seen.get)
 
 
 def gold_reports(gold: DataFrame) -> dict[str, DataFrame]:

@@ -12,7 +12,7 @@ from likeness.operators import heads as hd
 from likeness.operators import merge as mg
 from likeness.operators import patterns as pt
 from likeness.operators import samples as sm
-from likeness.session import cached, staged
+from likeness.session import cached
 from likeness.sinks.files import write_csv, write_csv_tables, write_parquet
 from likeness.sources.tables import read_variants
 
@@ -49,21 +49,21 @@ def variant_reports(candidates: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_variants(
-    segments: DataFrame,
+    phrases: DataFrame,
     dataset_root: str,
     output_root: str,
     pattern_types: list[str] | None = None,
     mode: str = "overwrite",
 ) -> DataFrame:
-    """Extract the variants in one scan and write datasets and review tables.
+    """Label variant matches, write datasets and review tables.
 
-    The matches are stored once; candidates, accepted candidates and the
-    comparison table all come from that store.  Returns the candidates.
+    ``phrases`` is a stored match table (``match_phrases``): candidates and
+    comparison both read it.  Returns the written candidates.
     """
     names = list(pt.VARIANTS) if pattern_types is None else pattern_types
-    matches = staged(ex.variant_matches(segments, names), "variant-matches")
+    matches = ex.label_variants(ex.of_patterns(phrases, *names))
     write_parquet(ex.variant_columns(matches), dataset_path(dataset_root), mode, ["pattern_type"])
-    candidates = read_variants(segments.sparkSession, dataset_path(dataset_root))
+    candidates = read_variants(phrases.sparkSession, dataset_path(dataset_root))
     write_parquet(ex.accepted(candidates), accepted_path(dataset_root), mode, ["pattern_type"])
     for name in names:
         one = candidates.where(F.col("pattern_type") == name)

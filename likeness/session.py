@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
+    # Call sites in error messages cost a stack walk per column expression.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 

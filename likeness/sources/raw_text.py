@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPLITS_PER_CORE = 2
+BROADCAST_BLOCKS = 500_000  # about 100 MB of paths and numbers
+BLOCK_SALTS = 64
 
 
 def read_lines(
@@ -37,9 +39,8 @@ def read_lines(
             file.alias("source_file"), F.col("scan_id").alias("original_line_id"), "raw_text"
         )
     # A block is a contiguous range of one file read by one task, so ids are
-    # consecutive in it.  The block table has one row per input split; Catalyst
-    # broadcasts it below its threshold and shuffles it above.
-    numbered = scanned.join(_first_lines(scanned), ["file_path", "block_start"])
+    # consecutive in it.
+    numbered = _with_blocks(scanned, _first_lines(scanned), _most_blocks(spark.read.text(path)))
     return numbered.select(
         file.alias("source_file"),
         (F.col("scan_id") - F.col("first_scan_id") + F.col("lines_before")).alias(
@@ -49,6 +50,26 @@ def read_lines(
     )
 
 
+def _most_blocks(scan: DataFrame) -> int:
+    """Upper bound of the block table's rows: one per split plus one per file."""
+    return scan.rdd.getNumPartitions() + len(scan.inputFiles())
+
+
+def _with_blocks(scanned: DataFrame, blocks: DataFrame, most: int) -> DataFrame:
+    """Join every line with its block.
+
+    A block table within ``BROADCAST_BLOCKS`` rows is broadcast.  Above, the
+    join is shuffled with salted keys: a compressed file is one block, so its
+    lines would otherwise all meet in one task.
+    """
+    keys = ["file_path", "block_start"]
+    if most <= BROADCAST_BLOCKS:
+        return scanned.join(F.broadcast(blocks), keys)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(BLOCK_SALTS - 1)))
+    salted = scanned.withColumn("salt", F.pmod("scan_id", F.lit(BLOCK_SALTS)).cast("int"))
+    return salted.join(blocks.withColumn("salt", salts), [*keys, "salt"]).drop("salt")
+
+
 def _first_lines(scanned: DataFrame) -> DataFrame:
     """Per input block: its first scan id and the file's lines before it."""
     blocks = scanned.groupBy("file_path", "block_start").agg(

@@ -68,13 +68,20 @@ def _heads(spark: SparkSession, sf: str) -> DataFrame:
     return hd.classify_heads(ex.variant_candidates(segments, [pt.BARE_V2.pattern_type]))
 
 
+def _stored_matches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    # Gold and bare candidates from one corpus scan: the matches, a small part
+    # of the text, are stored once and both branches read them.
+    specs = [pt.ARTICLE, pt.BARE_V2]
+    phrases = staged(ex.match_phrases(_segments(spark, sf, *specs), specs), "matches")
+    article = ex.of_patterns(phrases, pt.ARTICLE.pattern_type)
+    bare = ex.of_patterns(phrases, pt.BARE_V2.pattern_type)
+    gold = ex.gold_from_matches(ex.label_strict(article))
+    return gold, ex.variant_columns(ex.label_variants(bare))
+
+
 def _merged(spark: SparkSession, sf: str) -> DataFrame:
-    # Two branches need the same segments; those that can match are a small
-    # part of the corpus, so they are stored once.
-    segments = staged(_segments(spark, sf, pt.ARTICLE, pt.BARE_V2), "segments")
-    bare = ex.variant_candidates(segments, [pt.BARE_V2.pattern_type])
-    labelled = hd.classify_heads(bare, pattern_type=None)
-    return mg.merge_candidates(ex.gold_candidates(segments), hd.promoted(labelled))
+    gold, bare = _stored_matches(spark, sf)
+    return mg.merge_candidates(gold, hd.promoted(hd.classify_heads(bare, pattern_type=None)))
 
 
 def _english(lines: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
@@ -104,9 +111,8 @@ def _match_offsets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _new_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    segments = staged(_segments(spark, sf, pt.ARTICLE, pt.BARE_V2), "segments")
-    variants = ex.variant_candidates(segments, [pt.BARE_V2.pattern_type])
-    return ev.new_pairs(ex.accepted(variants), ev.baseline_pairs(ex.gold_candidates(segments)))
+    gold, bare = _stored_matches(spark, sf)
+    return ev.new_pairs(ex.accepted(bare), ev.baseline_pairs(gold))
 
 
 def _strategy(spark: SparkSession, sf: str) -> DataFrame:

@@ -65,6 +65,12 @@ def test_line_numbers_over_several_blocks_of_one_file(spark, tmp_path):
     assert all(r.raw_text == f"line {r.original_line_id}" for r in rows)
 
 
+def test_salted_block_join_gives_the_same_lines(spark, shards, monkeypatch):
+    wanted = _ids(rt.read_lines(spark, f"{shards}/*.gz"))
+    monkeypatch.setattr(rt, "BROADCAST_BLOCKS", 0)
+    assert _ids(rt.read_lines(spark, f"{shards}/*.gz")) == wanted
+
+
 def test_scan_order_ids_are_unique(spark, shards):
     rows = rt.read_lines(spark, f"{shards}/*.gz", line_ids="scan_order").collect()
     assert len({r.original_line_id for r in rows}) == 30
@@ -162,14 +168,16 @@ def test_full_run_writes_every_output(spark, tmp_path):
 
 def test_gold_write_reports_row_counts(spark, tmp_path, lines_of):
     segments = bronze_segments(lines_of(*SENTENCES))
-    gold, seen = gp.write_gold(segments, str(tmp_path / "gold"))
+    specs = [pt.ARTICLE, pt.BARE]
+    gold, seen = gp.write_gold(ex.match_phrases(segments, specs), str(tmp_path / "gold"))
     labelled = ex.labelled_candidates(segments)
     assert seen == {
         "match_rows": labelled.count(),
         "prefiltered_rows": pt.prefilter(segments, pt.ARTICLE).count(),
         "candidate_rows": gold.count(),
     }
-    none, seen = gp.write_gold(bronze_segments(lines_of("nada")), str(tmp_path / "none"))
+    nothing = ex.match_phrases(bronze_segments(lines_of("nada")), specs)
+    none, seen = gp.write_gold(nothing, str(tmp_path / "none"))
     assert none.count() == 0
     assert seen == {"match_rows": 0, "prefiltered_rows": 0, "candidate_rows": 0}
 
