@@ -16,7 +16,10 @@ WORD = r"[\p{L}\p{N}_]"
 NOT_AFTER_WORD = rf"(?<!{WORD})"
 NOT_BEFORE_WORD = rf"(?!{WORD})"
 SPACES = r"(?U)[\s\x1c-\x1f]+"
-EDGE_SPACES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+SPACE_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 ANY_TEXT = r"(?U)[^\s\x1c-\x1f]"
 TOKEN = r"[\p{L}\p{N}_'-]+"
 ALNUM = r"[\p{L}\p{N}]"
@@ -34,7 +37,7 @@ def collapse_spaces(text: Column) -> Column:
 
 def strip_spaces(text: Column) -> Column:
     """Trim Unicode whitespace at both ends, keep the inside as it is."""
-    return F.regexp_replace(text, EDGE_SPACES, "")
+    return F.btrim(text, F.lit(SPACE_CHARACTERS))
 
 
 def has_text(text: Column) -> Column:

@@ -192,7 +192,7 @@ def find_matches(
     # inline_outer: the inner form would evaluate the array a second time in
     # an inferred size filter.
     matches = (
-        segments.where(contains_any(F.lower(text), all_literals(specs)))
+        segments.where(contains_any(F.col("match_text"), all_literals(specs)))
         .select(
             "source_file",
             "original_line_id",

@@ -613,6 +613,11 @@ def _select(columns: list[str]) -> str:
     return "SELECT " + ", ".join(columns)
 
 
+_UNION = (
+    "SELECT candidate_id, pattern_type, ground_lemma, vehicle_head_lemma AS vehicle_head_clean "
+    "FROM gold UNION ALL SELECT candidate_id, pattern_type, ground_lemma, vehicle_head_clean "
+    "FROM variants"
+)
 _GV = _counts("gold", "ground_lemma", "vehicle_head_lemma")
 
 ORACLE: dict[str, str] = {
@@ -741,6 +746,10 @@ ORACLE: dict[str, str] = {
     ),
     "experiment_comparison": _evaluation(list(pt.VARIANTS), _COMPARISON_ADVICE),
     "promotion_summary": _evaluation([_V2], _SUMMARY_ADVICE),
+    "pattern_union": _strict_and_variants(_UNION, _V2),
+    "pattern_union_counts": _strict_and_variants(
+        f"SELECT pattern_type, count(*) AS count FROM ({_UNION}) GROUP BY 1", _V2
+    ),
     "new_pairs": _strict_and_variants(
         f", {_BASE_PAIRS}\nSELECT DISTINCT ground_lemma, vehicle_head_clean FROM variants "
         f"WHERE {_ACCEPTED} AND (ground_lemma, vehicle_head_clean) NOT IN "

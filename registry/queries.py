@@ -120,6 +120,13 @@ def _strategy(spark: SparkSession, sf: str) -> DataFrame:
     return ev.strategy_from_segments(_segments(spark, sf, *specs))
 
 
+def _pattern_union(spark: SparkSession, sf: str) -> DataFrame:
+    columns = ["candidate_id", "pattern_type", "ground_lemma", "vehicle_head_clean"]
+    gold, bare = _stored_matches(spark, sf)
+    baseline = gold.withColumnRenamed("vehicle_head_lemma", "vehicle_head_clean")
+    return mg.union_patterns([baseline.select(*columns), bare.select(*columns)])
+
+
 def _manifest(cleaned: DataFrame) -> DataFrame:
     return xp.manifest(cleaned).drop("generated_at")
 
@@ -178,6 +185,8 @@ QUERIES: dict[str, Query] = {
     "quality_notes": _on(_variants, ev.quality_notes),
     "experiment_comparison": _on(_variant_matches, ev.comparison_table),
     "promotion_summary": _on(_variant_matches, ev.promotion_summary),
+    "pattern_union": _pattern_union,
+    "pattern_union_counts": _on(_pattern_union, ct.pattern_counts),
     "new_pairs": _new_pairs,
     "dataset_strategy": _strategy,
     # head labels
