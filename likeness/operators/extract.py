@@ -30,16 +30,19 @@ def match_phrases(
     """Matches with left context, vehicle phrase and its tokens.
 
     This is the only step that reads the corpus.  Its result is small, holds
-    everything the labels need and may be stored for several consumers.
+    everything the labels need and may be stored for several consumers.  The
+    segment text is dropped before the lexicon join, so a large lexicon that
+    has to be shuffled meets short rows only.
     """
-    return _phrases(pt.find_matches(segments, specs, lexicon))
+    hits = pt.find_hits(segments, specs, built_in=lexicon is None)
+    return pt.with_lexicon(_phrases(hits), specs, lexicon)
 
 
-def _phrases(matches: DataFrame) -> DataFrame:
+def _phrases(hits: DataFrame) -> DataFrame:
     text = F.col("text_normalized")
     left = F.rtrim(tx.head_to(text, F.col("ground_start")))
     return (
-        matches.withColumn("right_text", tx.tail_from(text, F.col("connector_end")))
+        hits.withColumn("right_text", tx.tail_from(text, F.col("connector_end")))
         .withColumn("text_before", F.ltrim(F.right(left, F.lit(LEFT_CONTEXT_CHARS))))
         .withColumn(
             "matched_text",

@@ -169,29 +169,21 @@ def _tagged_hits(text: Column, same: list[PatternSpec], built_in: bool) -> Colum
     )
 
 
-def find_matches(
-    segments: DataFrame, specs: list[PatternSpec], lexicon: DataFrame | None = None
-) -> DataFrame:
-    """All matches of one or more patterns, one row each, from one scan.
+def find_hits(segments: DataFrame, specs: list[PatternSpec], built_in: bool = True) -> DataFrame:
+    """All connector matches of one or more patterns, one row each, from one scan.
 
     Adds ``pattern_type, ground_text, ground_start, connector_text,
-    connector_start, connector_end, nth`` (rank of the match in its segment)
-    and the lexicon columns ``ground_lemma, ground_type, ground_source,
-    ground_reference_path``.
-
-    Without ``lexicon`` the built-in one is used and grounds are tested inside
-    the segment, before rows are made.  A given ``lexicon`` may have any size:
-    the join is left to Catalyst, which broadcasts it below
-    ``autoBroadcastJoinThreshold`` and shuffles with skew handling above.
+    connector_start, connector_end, nth`` (rank of the match in its segment).
+    ``built_in`` keeps only grounds of the built-in lexicon.
     """
     shared: dict[tuple, list[PatternSpec]] = {}
     for spec in specs:
         shared.setdefault((spec.connector, spec.tail, spec.ground_types), []).append(spec)
     text = F.col("text_normalized")
-    arrays = [_tagged_hits(text, same, lexicon is None) for same in shared.values()]
+    arrays = [_tagged_hits(text, same, built_in) for same in shared.values()]
     # inline_outer: the inner form would evaluate the array a second time in
     # an inferred size filter.
-    matches = (
+    return (
         segments.where(contains_any(F.col("match_text"), all_literals(specs)))
         .select(
             "source_file",
@@ -202,14 +194,20 @@ def find_matches(
         )
         .where(F.col("ground_text") != "")
     )
-    return _with_lexicon(matches, specs, lexicon)
 
 
-def _with_lexicon(
-    matches: DataFrame, specs: list[PatternSpec], lexicon: DataFrame | None
+def with_lexicon(
+    hits: DataFrame, specs: list[PatternSpec], lexicon: DataFrame | None = None
 ) -> DataFrame:
-    table = lx.default_lexicon(matches.sparkSession) if lexicon is None else lexicon
-    found = matches.withColumn("form", F.lower("ground_text")).join(table, "form")
+    """Keep hits whose ground is in the lexicon and add its columns.
+
+    Adds ``ground_lemma, ground_type, ground_source, ground_reference_path``.
+    A given ``lexicon`` may have any size: the join is left to Catalyst, which
+    broadcasts it below ``autoBroadcastJoinThreshold`` and otherwise shuffles
+    with AQE splitting hot grounds.
+    """
+    table = lx.default_lexicon(hits.sparkSession) if lexicon is None else lexicon
+    found = hits.withColumn("form", F.lower("ground_text")).join(table, "form")
     if lexicon is not None:
         allowed = F.lit(False)
         for spec in specs:
@@ -219,3 +217,10 @@ def _with_lexicon(
             )
         found = found.where(allowed)
     return found.drop("form").withColumnRenamed("lemma", "ground_lemma")
+
+
+def find_matches(
+    segments: DataFrame, specs: list[PatternSpec], lexicon: DataFrame | None = None
+) -> DataFrame:
+    """Hits of the patterns whose ground is in the lexicon."""
+    return with_lexicon(find_hits(segments, specs, lexicon is None), specs, lexicon)

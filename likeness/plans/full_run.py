@@ -10,7 +10,7 @@ from likeness.operators import extract as ex
 from likeness.operators import patterns as pt
 from likeness.plans import gold as gp
 from likeness.plans import variants as vp
-from likeness.session import staged
+from likeness.sinks.files import write_parquet
 from likeness.sources.tables import load_or_build_bronze
 
 
@@ -19,6 +19,7 @@ class Layout:
     """Where a run keeps its tables and outputs below one root folder."""
 
     bronze: str
+    matches: str
     gold: str
     variants: str
     merged: str
@@ -32,6 +33,7 @@ class Layout:
         """The default layout."""
         return cls(
             bronze=f"{root}/data/bronze/segments",
+            matches=f"{root}/data/silver/matches",
             gold=f"{root}/data/gold/como_article_ground_vehicle_candidates",
             variants=f"{root}/data/gold/experiments",
             merged=f"{root}/data/gold/visualization/ground_vehicle_candidates",
@@ -58,7 +60,9 @@ def run(
     at = Layout.below(root)
     segments = load_or_build_bronze(spark, input_path, at.bronze)
     specs = [pt.ARTICLE, *pt.VARIANTS.values()]
-    phrases = staged(ex.match_phrases(segments, specs), "matches")
+    found = ex.match_phrases(segments, specs)
+    write_parquet(found, at.matches)
+    phrases = spark.read.schema(found.schema).parquet(at.matches)
     gold, _ = gp.write_gold(phrases, at.gold)
     gp.write_gold_reports(gold, at.reports)
     manifest = gp.write_export(gold, at.export, "comparisons", at.gold, generated_at)
