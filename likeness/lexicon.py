@@ -178,7 +178,10 @@ def morphology_rows() -> list[tuple[str, str, str]]:
     ]
 
 
-def values_table(spark: SparkSession, rows: list[tuple[str, ...]], columns: list[str]) -> DataFrame:
+def values_table(
+    spark: SparkSession, rows: list[tuple[str, ...]], columns: list[str]
+) -> DataFrame:
+    """A small table of text rows as an inline relation."""
     # An inline VALUES relation carries exact size statistics, so Catalyst
     # itself decides on broadcasting against its own threshold.
     quoted = ", ".join(

@@ -90,7 +90,10 @@ def _metrics(cells: DataFrame, pattern_types: list[str]) -> DataFrame:
     top = F.array_min(
         F.array(
             *[
-                F.when(F.col(reason) > 0, F.struct((-F.col(reason)).alias("n"), F.lit(reason).alias("reason")))
+                F.when(
+                    F.col(reason) > 0,
+                    F.struct((-F.col(reason)).alias("n"), F.lit(reason).alias("reason")),
+                )
                 for reason in NOT_ACCEPTED_REASONS
             ]
         )

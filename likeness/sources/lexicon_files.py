@@ -75,7 +75,7 @@ def read_lexicon(
     if not parts:
         return lx.default_lexicon(spark)
     table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    rest = [name for name in schemas.columns(schemas.LEXICON) if name not in ("form", "ground_type")]
+    rest = ["lemma", "ground_source", "ground_reference_path"]
     best = F.min(F.struct("ground_type", *rest))  # quality_adjective sorts before salient_verb
     return (
         table.groupBy("form")

@@ -89,7 +89,8 @@ def main() -> None:
         except Exception as error:  # report and go on with the next query
             found = f"{type(error).__name__}: {str(error)[:300]}"
         failed += bool(found)
-        print(f"{'FAIL' if found else 'ok  '} {name} {time.time() - begun:.1f}s {found}", flush=True)
+        state = "FAIL" if found else "ok  "
+        print(f"{state} {name} {time.time() - begun:.1f}s {found}", flush=True)
     print(f"{failed} failed")
 
 

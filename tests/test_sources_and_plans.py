@@ -36,7 +36,8 @@ def shards(tmp_path):
 
 
 def _ids(df):
-    return {(r.source_file.rsplit("/", 1)[-1], r.original_line_id): r.raw_text for r in df.collect()}
+    rows = df.collect()
+    return {(r.source_file.rsplit("/", 1)[-1], r.original_line_id): r.raw_text for r in rows}
 
 
 def test_line_numbers_per_file_do_not_depend_on_the_file_set(spark, shards):
@@ -151,7 +152,8 @@ def test_full_run_writes_every_output(spark, tmp_path):
     examples = spark.read.option("header", True).csv(f"{at.reports}/como_article_examples.csv")
     assert examples.count() == gold.count()
     candidates = tb.read_variants(spark, vp.dataset_path(at.variants))
-    assert {r[0] for r in candidates.select("pattern_type").distinct().collect()} == set(pt.VARIANTS)
+    names = {r[0] for r in candidates.select("pattern_type").distinct().collect()}
+    assert names == set(pt.VARIANTS)
     accepted = tb.read_variants(spark, vp.accepted_path(at.variants))
     assert accepted.count() == ex.accepted(candidates).count()
     for name in pt.VARIANTS:

@@ -51,7 +51,8 @@ CASES = [
 
 def test_known_sentences(lines_of):
     segments = bronze_segments(lines_of(*[c[1] for c in CASES], start=0))
-    rows = {(r.pattern_type, r.original_line_id): r for r in ex.variant_candidates(segments).collect()}
+    found = ex.variant_candidates(segments).collect()
+    rows = {(r.pattern_type, r.original_line_id): r for r in found}
     for i, (pattern, sentence, *wanted) in enumerate(CASES):
         r = rows[pattern, i]
         got = [r.vehicle_text_raw, r.vehicle_text_clean, r.vehicle_head_clean,
@@ -134,7 +135,8 @@ def test_comparison_lists_patterns_without_matches(lines_of):
 def test_promotion_advice(lines_of):
     good = bronze_segments(lines_of("frio como gelo", "leve como pluma"))
     names = list(pt.VARIANTS)
-    rows = {r.experiment_slug: r for r in ev.comparison_table(ex.variant_matches(good, names)).collect()}
+    table = ev.comparison_table(ex.variant_matches(good, names))
+    rows = {r.experiment_slug: r for r in table.collect()}
     assert rows[BARE].promotion_recommendation == "iterate cleanup, then reconsider"
     summary = ev.promotion_summary(ex.variant_matches(good, [V2])).first()
     assert summary.promotion_recommendation == "review top pairs before promotion"
