@@ -46,7 +46,9 @@ def bronze_segments_with(lines: DataFrame, literals: tuple[str, ...]) -> DataFra
     but tests the raw piece first, so the whitespace regexes only run on
     segments that can match.  The literals must not contain whitespace.
     """
-    return _bronze_columns(_exploded(lines).where(contains_any(F.lower("piece"), literals)))
+    # Lower-casing costs more than the searches, so it is done once per piece.
+    pieces = tx.computed_once(_exploded(lines), lowered=F.lower("piece"))
+    return _bronze_columns(pieces.where(contains_any(F.col("lowered"), literals)))
 
 
 def contains_any(lowered: Column, literals: tuple[str, ...]) -> Column:
