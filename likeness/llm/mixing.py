@@ -59,7 +59,6 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) ->
     weighed = ranked.withColumn("weight", chosen.cast("long")).withColumn(
         "cap", F.col("source_size") * repeats
     )
-    # The ratio is compared in exact integers by the cut below; ties share a level.
     by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), F.col("place"))
     before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(0))
@@ -75,8 +74,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) ->
         / (F.col("weights") - F.col("weights_before")),
     )
     # The first source whose cap reaches the level sets it for all after it.
-    open_level = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))
-    levelled = filled_up.withColumn("level", F.min(open_level).over(whole))
+    reached = F.col("level") * F.col("weight") <= F.col("cap")
+    first = F.struct((F.col("cap") / F.col("weight")).alias("ratio"), "place", "level")
+    levelled = filled_up.withColumn("level", F.min(F.when(reached, first)).over(whole)["level"])
     share = F.col("level") * F.col("weight")
     return levelled.select(
         "source",

@@ -43,7 +43,8 @@ WITH sized AS (
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), targets AS (
   SELECT source, source_size, coalesce(least(cap::DOUBLE,
-    (SELECT min(level) FROM levels WHERE level * weight <= cap) * weight), 0.0) AS target
+    (SELECT level FROM levels WHERE level * weight <= cap ORDER BY cap / weight, rank LIMIT 1)
+      * weight), 0.0) AS target
   FROM levels
 ), placed AS (
   SELECT s.*, source_size, target, sum(size) OVER (PARTITION BY s.source
