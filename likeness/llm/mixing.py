@@ -86,6 +86,10 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) ->
     )
 
 
+def _time_slot(turn: Column) -> Column:
+    return F.floor(turn["finish"] * TIME_SLOTS)
+
+
 def _starts(rows: DataFrame, keys: list[str], slot: str) -> DataFrame:
     """Words in the slots before each slot, by ``keys``; columns end in an underscore."""
     totals = rows.groupBy(*keys, slot).agg(F.sum("size").alias("slot_size"))
@@ -117,9 +121,9 @@ def _placed(rows: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def _cutoff(queued: DataFrame) -> DataFrame:
-    """One row: the last turn in line that still fits the budget (null: none does).
+    """One row: the slot in which the budget runs out, and its last turn that fits (or null).
 
-    Only the turns of the slot in which the budget runs out are sorted.
+    All turns of the slots before fit; only the turns of that slot are sorted.
     """
     starts = _starts(queued, [], "time_slot")
     budget = queued.agg(F.max("budget").alias("budget"))
@@ -138,7 +142,10 @@ def _cutoff(queued: DataFrame) -> DataFrame:
         queued.join(F.broadcast(last), F.col("time_slot") <= F.col("time_slot_"))
         .where("time_slot = time_slot_")
         .withColumn("line", F.sum("size").over(in_line) + F.col("start"))
-        .agg(F.max(F.when(F.col("line") <= F.col("budget"), F.col("turn"))).alias("cutoff"))
+        .agg(
+            F.max("time_slot").alias("last_slot"),
+            F.max(F.when(F.col("line") <= F.col("budget"), F.col("turn"))).alias("cutoff"),
+        )
     )
 
 
@@ -171,15 +178,21 @@ def mix(
     queued = (
         placed.where("size > 0")
         .select("size", "budget", F.explode(turns).alias("turn"))
-        .withColumn("time_slot", F.floor(F.col("turn.finish") * TIME_SLOTS))
+        .withColumn("time_slot", _time_slot(F.col("turn")))
     )
-    fits = F.size(F.filter(turns, lambda t: t <= F.col("cutoff")))
+
+    def fits(turn: Column) -> Column:
+        slot = _time_slot(turn)
+        return (slot < F.col("last_slot")) | (
+            (slot == F.col("last_slot")) & (turn <= F.col("cutoff"))
+        )
+
     return placed.crossJoin(F.broadcast(_cutoff(queued))).select(  # one row
         "doc_id",
         "size",
         "source_size",
         "target",
-        F.when((F.col("size") > 0) & F.col("cutoff").isNotNull(), fits * F.col("size"))
+        F.when(F.col("size") > 0, F.size(F.filter(turns, fits)) * F.col("size"))
         .otherwise(F.lit(0))
         .cast("long")
         .alias("taken"),
