@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likeness.llm import chat_format, exact_dedup, mixing
+from likeness.llm import chat_format, exact_dedup, mixing, simhash, substring_dedup
 from likeness.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,14 @@ def conversations_with_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.unionByName(added)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated windows."""
+    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of what is read back from the formatted conversations."""
     formatted = chat_format.format_conversations(conversations_with_marks(spark, sf_dir))
@@ -47,13 +55,23 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of every document."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_mixing": op4_mixing,
+    "op5_simhash": op5_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
