@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likeness.llm import chat_format, exact_dedup, mixing, simhash, substring_dedup
+from likeness.llm import chat_format, exact_dedup, mixing, simhash, substring_dedup, toxicity
 from likeness.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,18 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_texts(docs, table(spark, sf_dir, "labels"))
+    return scored.select(
+        "row.doc_id",
+        F.coalesce(toxicity.in_held_out(F.col("row.doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of every document."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -73,5 +85,6 @@ QUERIES: dict[str, Query] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
+    "op8_toxicity": op8_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }
