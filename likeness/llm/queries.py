@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likeness.llm import chat_format, exact_dedup, mixing, simhash, substring_dedup, toxicity
+from likeness.llm import (
+    chat_format,
+    exact_dedup,
+    html_extract,
+    mixing,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from likeness.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +83,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of equal texts of every document."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -86,5 +100,6 @@ QUERIES: dict[str, Query] = {
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
     "op8_toxicity": op8_toxicity,
+    "op9_html_extraction": op9_html_extraction,
     "op10_exact_dedup": op10_exact_dedup,
 }
