@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from likeness.llm import (
+    ann,
     chat_format,
     exact_dedup,
     html_extract,
@@ -71,6 +72,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_toxicity": op8_toxicity,
     "op9_html_extraction": op9_html_extraction,
     "op10_exact_dedup": op10_exact_dedup,

@@ -49,4 +49,5 @@ def held(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    # New names, so that branches of one table can be joined with each other.
+    return df.checkpoint().toDF(*df.columns)
