@@ -24,18 +24,17 @@ units and the pieces of one Arrow batch.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import cache
-from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from likeness.llm.hashing import text_bytes
 from likeness.llm.tables import free_name
 
 SPACE = "▁"
@@ -45,10 +44,8 @@ SEED = 1
 SHARPNESS = 1.0
 #: Units filtered and sampled together.
 BLOCK = 1 << 19
-#: Spaces with what follows up to the next space or line break; line breaks alone.
-_UNITS = re.compile(r" *[^ \n]+| +|\n")
-_MARK = "\x1f"
 _HASH = np.uint64(0x9E3779B97F4A7C15)
+_SLOT_BITS = 20
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -58,6 +55,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _slot(h: np.ndarray, number: int) -> np.ndarray:
+    """The slot of a hash, by one of many hash functions."""
+    factor = 0xD6E8FEB86659FD93 * (2 * number + 1) & (2**64 - 1)
+    return ((h * np.uint64(factor)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
 class Vocabulary:
     """The pieces of a model: by hash for the lattice, as bytes for decoding."""
 
@@ -84,23 +87,44 @@ class Vocabulary:
         self.weight[ranked] = -sharpness * np.log(np.arange(len(ranked)) + 2.0)
         #: Weight of one byte: like the rarest piece.
         self.byte_weight = float(self.weight[ranked].min())
-        by_size: dict[int, list[tuple[int, int]]] = {}
-        starts: dict[int, set[int]] = {}
+        self.spelled = pa.array(self.bytes, pa.large_binary())
+        self._index(pieces, plain)
+
+    def _index(self, pieces: list[str], plain: list[int]) -> None:
+        """A hash table of all beginnings of pieces: the piece, if it is one, and if any goes on."""
+        entries: dict[int, list[int]] = {}
         for i in plain:
             h = 0
             for n, c in enumerate(map(ord, pieces[i]), 1):
                 h = (h * int(_HASH) + c + 1) & (2**64 - 1)
+                entry = entries.setdefault(h, [-1, 0])
                 if n < len(pieces[i]):
-                    starts.setdefault(n, set()).add(h)
-            by_size.setdefault(len(pieces[i]), []).append((h, i))
-        self.longest = max(by_size)
-        none = np.zeros(0, np.uint64)
-        self.hashes, self.ids, self.starts = {}, {}, {}
-        for n in range(1, self.longest + 1):
-            rows = sorted(by_size.get(n, []))
-            self.hashes[n] = np.array([h for h, _ in rows], np.uint64) if rows else none
-            self.ids[n] = np.array([i for _, i in rows], np.int32)
-            self.starts[n] = np.array(sorted(starts.get(n, ())), np.uint64)
+                    entry[1] = 1
+                else:
+                    entry[0] = i
+        self.longest = max(len(pieces[i]) for i in plain)
+        self.hashes = np.array([*entries, 0], np.uint64)
+        self.piece = np.array([e[0] for e in entries.values()] + [-1], np.int32)
+        self.goes_on = np.array([e[1] for e in entries.values()] + [0], bool)
+        # Two slots for an entry: the few that find the first one taken use the second.
+        self.slots = np.full((2, 1 << _SLOT_BITS), len(entries), np.int32)
+        placed = _slot(self.hashes[:-1], 0)
+        self.slots[0][placed] = np.arange(len(entries))
+        rest = np.flatnonzero(self.slots[0][placed] != np.arange(len(entries)))
+        self.second = next(
+            n
+            for n in range(1, 1000)
+            if len(np.unique(_slot(self.hashes[rest], n))) == len(rest)
+        )
+        self.slots[1][_slot(self.hashes[rest], self.second)] = rest
+
+    def lookup(self, h: np.ndarray) -> np.ndarray:
+        """The table's entry of every hash, or the last entry, which is no piece and ends all."""
+        at = self.slots[0][_slot(h, 0)]
+        missed = np.flatnonzero(self.hashes[at] != h)
+        other = self.slots[1][_slot(h[missed], self.second)]
+        at[missed] = np.where(self.hashes[other] == h[missed], other, len(self.hashes) - 1)
+        return at
 
 
 @cache
@@ -109,97 +133,99 @@ def vocabulary(path: str, sharpness: float = SHARPNESS) -> Vocabulary:
     return Vocabulary(path, sharpness)
 
 
-def _found(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which values are in a sorted array, and where."""
-    if not len(among):
-        return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
-    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
-    return among[at] == values, at
-
-
 class Lattice:
     """Filtered lattices of different units, laid end to end.
 
     Node ``first[u] + n`` stands after ``n`` characters of unit ``u``.  The edges
-    into a node are consecutive; ``line`` has the node's number plus the
-    cumulative probability of the edges, so it is sorted as a whole.
+    into a node are consecutive from ``into`` on, with their cumulative
+    probability in ``share``; that of a node's last edge is one.
     """
 
-    def __init__(self, units: list[str], vocab: Vocabulary):
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
-        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4")
-        codes = codes.astype(np.uint64)
-        codes = np.where(codes == ord(SPACE), np.uint64(_LITERAL), codes)
-        codes = np.where(codes == 32, np.uint64(ord(SPACE)), codes)
+    def __init__(self, units: pa.Array, vocab: Vocabulary):
+        sizes = pc.utf8_length(units).to_numpy().astype(np.int64)
+        data, _ = text_bytes(units)
+        codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4").astype(np.uint64)
+        literal = codes == ord(SPACE)
+        codes[codes == 32] = ord(SPACE)
+        codes[literal] = _LITERAL
         self.sizes = sizes
-        self.first = np.r_[0, np.cumsum(sizes + 1)[:-1]].astype(np.int64)
-        owner = np.repeat(np.arange(len(units)), sizes)
-        offset = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        left = sizes[owner] - offset  # characters from here to the unit's end
-        node = self.first[owner] + offset
+        self.first = np.r_[0, np.cumsum(sizes + 1)[:-1]].astype(np.int32)
+        before = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        offset = (np.arange(len(codes)) - before).astype(np.int32)
+        left = np.repeat(sizes.astype(np.int32), sizes) - offset  # characters from here to the unit's end
+        node = np.repeat(self.first, sizes) + offset
         froms, spans, tokens, weights = [], [], [], []
         active, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
         for n in range(1, vocab.longest + 1):
-            inside = left[active] >= n
-            active, h = active[inside], h[inside]
-            if not len(active):
-                break
-            h = h * _HASH + codes[active + n - 1] + np.uint64(1)
-            hit, at = _found(h, vocab.hashes[n])
-            ids = vocab.ids[n][at[hit]]
+            h = h * _HASH + codes[active + (n - 1)] + np.uint64(1)
+            entry = vocab.lookup(h)
+            ids = vocab.piece[entry]
+            hit = ids >= 0
+            found = ids[hit]
             froms.append(node[active[hit]])
-            spans.append(np.full(len(ids), n))
-            tokens.append(ids.astype(np.int64))
-            weights.append(vocab.weight[ids])
+            spans.append(np.full(len(found), n, np.int32))
+            tokens.append(found)
+            weights.append(vocab.weight[found])
             if n == 1 and not hit.all():
                 other = active[~hit]
                 points = np.where(codes[other] == _LITERAL, np.uint64(ord(SPACE)), codes[other])
                 width = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
                 froms.append(node[other])
-                spans.append(np.ones(len(other), np.int64))
-                tokens.append(-1 - points.astype(np.int64))
+                spans.append(np.ones(len(other), np.int32))
+                tokens.append(-1 - points.astype(np.int32))
                 weights.append(width * vocab.byte_weight)
-            more, _ = _found(h, vocab.starts[n])
+            more = vocab.goes_on[entry] & (left[active] > n)
             active, h = active[more], h[more]
-        start, span = np.concatenate(froms), np.concatenate(spans)
-        token, weight = np.concatenate(tokens), np.concatenate(weights)
+            if not len(active):
+                break
+        # Long pieces first: they are the likely ones, so draws mostly end at a node's first edge.
+        start, span = np.concatenate(froms[::-1]), np.concatenate(spans[::-1])
         end = start + span
-        total = np.full(len(codes) + len(units), -np.inf)
-        total[self.first] = 0.0
-        place = np.zeros(len(total), np.int64)  # characters before each node
+        order = np.argsort(end, kind="stable")  # merges the runs, one for each length
+        start, end = start[order], end[order]
+        token, weight = np.concatenate(tokens[::-1])[order], np.concatenate(weights[::-1])[order]
+
+        total = np.zeros(len(codes) + len(units))
+        place = np.zeros(len(total), np.int32)  # characters before each node
         place[node + 1] = offset + 1
-        order = np.lexsort((end, place[end]))
-        e_start, e_end, e_weight = start[order], end[order], weight[order]
-        steps = np.r_[0, np.cumsum(np.bincount(place[e_end])[1:])]
+        # Forward filtering, all units at once, from place to place.  A node's edges stay together.
+        at = place[end]
+        small = at.astype(np.uint16) if len(at) and at.max() < 1 << 16 else at
+        order = np.argsort(small, kind="stable")
+        f_start, f_end, f_weight = start[order], end[order], weight[order]
+        steps = np.r_[0, np.cumsum(np.bincount(at)[1:])] if len(at) else [0]
         for a, b in zip(steps[:-1], steps[1:], strict=True):
-            score = total[e_start[a:b]] + e_weight[a:b]
-            cuts = np.r_[0, np.flatnonzero(np.diff(e_end[a:b])) + 1]
+            score = total[f_start[a:b]] + f_weight[a:b]
+            into = f_end[a:b]
+            cuts = np.r_[0, np.flatnonzero(into[1:] != into[:-1]) + 1]
             most = np.maximum.reduceat(score, cuts)
             wide = np.repeat(most, np.diff(np.r_[cuts, b - a]))
-            total[e_end[a:b][cuts]] = most + np.log(np.add.reduceat(np.exp(score - wide), cuts))
-        order = np.argsort(end, kind="stable")
-        start, end, token, weight = start[order], end[order], token[order], weight[order]
+            total[into[cuts]] = most + np.log(np.add.reduceat(np.exp(score - wide), cuts))
         chance = np.exp(total[start] + weight - total[end])
-        cuts = np.r_[0, np.flatnonzero(np.diff(end)) + 1]
+        cuts = np.r_[0, np.flatnonzero(end[1:] != end[:-1]) + 1]
         sums = np.cumsum(chance)
-        before = np.repeat((sums - chance)[cuts], np.diff(np.r_[cuts, len(end)]))
-        share = np.minimum(sums - before, 1.0)
+        ahead = np.repeat((sums - chance)[cuts], np.diff(np.r_[cuts, len(end)]))
+        share = np.minimum(sums - ahead, 1.0)
         share[np.r_[cuts[1:] - 1, len(end) - 1]] = 1.0  # the last edge takes what rounding left
-        self.line, self.start, self.token = end + share, start, token
+        self.share, self.start, self.token = share.astype(np.float32), start, token
+        self.into = np.zeros(len(total), np.int32)
+        self.into[end[cuts]] = cuts
 
     def sample(self, unit: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of every occurrence (unit number and seed), end to end, and their counts."""
-        ends = self.first[unit] + self.sizes[unit]
         begins = self.first[unit]
+        ends = begins + self.sizes[unit].astype(np.int32)
         who, node = np.arange(len(unit)), ends
         drawn: list[tuple[np.ndarray, np.ndarray]] = []
         step = 0
         while len(who):
-            bits = _mixed(seed[who] + np.uint64(step) * _HASH)
+            bits = _mixed(seed[who] + np.uint64(step * int(_HASH) & (2**64 - 1)))
             u = (bits >> np.uint64(11)).astype(float) * 2.0**-53
-            # Node numbers take up to 2**23, which leaves 2**-29 for the draw.
-            edge = np.searchsorted(self.line, node + u, side="right")
-            edge = np.minimum(edge, len(self.line) - 1)
+            edge = self.into[node]
+            passed = np.flatnonzero(self.share[edge] <= u)
+            while len(passed):
+                edge[passed] += 1
+                passed = passed[self.share[edge[passed]] <= u[passed]]
             drawn.append((who, self.token[edge]))
             node = self.start[edge]
             going = node > begins[who]
@@ -209,7 +235,7 @@ class Lattice:
         for row, _ in drawn:
             counts[row] += 1
         last = np.cumsum(counts) - 1
-        out = np.zeros(int(counts.sum()), np.int64)
+        out = np.zeros(int(counts.sum()), np.int32)
         for step, (row, token) in enumerate(drawn):
             out[last[row] - step] = token
         return out, counts
@@ -231,51 +257,51 @@ def _written(tokens: np.ndarray, counts: np.ndarray, vocab: Vocabulary) -> tuple
     return out, np.bincount(owner, weights=width, minlength=len(counts)).astype(np.int64)
 
 
-def units_of(text: str) -> list[str]:
-    """The units of a text with the space that SentencePiece puts before it."""
-    text = " " + text
-    if "  " in text or _MARK in text:
-        return _UNITS.findall(text)
-    cut = text.replace(" ", _MARK + " ").replace("\n", f"{_MARK}\n{_MARK}")
-    return [u for u in cut.split(_MARK) if u]
+def unit_starts(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Where units start: with each row, run of spaces and line break, and after line breaks."""
+    space, line = data == 32, data == 10
+    starts = np.zeros(len(data) + 1, bool)
+    starts[:-1] |= line
+    starts[1:] |= line
+    starts[:-1] |= space
+    starts[1:-1] &= ~(space[1:] & space[:-1])
+    starts[rows] = True
+    return np.flatnonzero(starts[:-1])
 
 
 def sample_block(
-    units: list[str], seeds: np.ndarray, vocab: Vocabulary
+    units: pa.Array, seeds: np.ndarray, vocab: Vocabulary
 ) -> tuple[np.ndarray, np.ndarray]:
     """Sampled piece ids of units (one seed each), end to end, and their counts."""
-    index: dict[str, int] = {}
-    number = [index.setdefault(u, len(index)) for u in units]
-    lattice = Lattice(list(index), vocab)
-    return _written(*lattice.sample(np.array(number), seeds), vocab)
+    different = units.dictionary_encode()
+    lattice = Lattice(different.dictionary, vocab)
+    return _written(*lattice.sample(different.indices.to_numpy(), seeds), vocab)
 
 
-def encode_batch(
-    texts: list[str | None], seeds: np.ndarray, vocab: Vocabulary, block: int = BLOCK
-) -> pa.Array:
+def encode_batch(texts: pa.Array, seeds: np.ndarray, vocab: Vocabulary, block: int = BLOCK) -> pa.Array:
     """A list of piece ids for every text (null for null)."""
-
-    def occurrences() -> Iterator[tuple[int, int, str]]:
-        for row, text in enumerate(texts):
-            if text:
-                for place, unit in enumerate(units_of(text)):
-                    yield row, place, unit
-
+    full = pc.and_(pc.is_valid(texts), pc.greater(pc.binary_length(texts), 0)).fill_null(False)
+    spaced = pc.binary_join_element_wise(" ", texts.filter(full), "")
+    data, rows = text_bytes(spaced)
+    starts = unit_starts(data, rows)
+    firsts = np.searchsorted(starts, rows)  # first unit of each row, and one past the last
+    row = np.repeat(np.flatnonzero(full.to_numpy(zero_copy_only=False)), np.diff(firsts))
+    place = np.arange(len(starts)) - np.repeat(firsts[:-1], np.diff(firsts))
+    offsets = pa.py_buffer(np.r_[starts, len(data)].astype(np.int64))
+    units = pa.Array.from_buffers(
+        pa.large_string(), len(starts), [None, offsets, pa.py_buffer(np.ascontiguousarray(data))]
+    )
     made, per_row = [], np.zeros(len(texts), np.int64)
-    stream = occurrences()
-    while part := list(islice(stream, block)):
-        rows, places, units = zip(*part, strict=True)
-        row = np.array(rows)
-        seed = _mixed(seeds[row] ^ _mixed(np.array(places, np.uint64) + _HASH))
-        tokens, counts = sample_block(list(units), seed, vocab)
+    for a in range(0, len(starts), block):
+        part = slice(a, a + block)
+        seed = _mixed(seeds[row[part]] ^ _mixed(place[part].astype(np.uint64) + _HASH))
+        tokens, counts = sample_block(units[part], seed, vocab)
         made.append(tokens)
-        np.add.at(per_row, row, counts)
+        per_row += np.bincount(row[part], weights=counts, minlength=len(texts)).astype(np.int64)
     values = np.concatenate(made) if made else np.zeros(0, np.int32)
-    offsets = np.r_[0, np.cumsum(per_row)].astype(np.int32)
-    null = np.array([t is None for t in texts], bool)
-    return pa.ListArray.from_arrays(
-        pa.array(offsets), pa.array(values, pa.int32()), mask=pa.array(null) if null.any() else None
-    )
+    ends = np.r_[0, np.cumsum(per_row)].astype(np.int32)
+    null = pc.is_null(texts) if texts.null_count else None
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()), mask=null)
 
 
 def _encoder(path: str, sharpness: float, text: str, seed: str, out: str):
@@ -283,7 +309,7 @@ def _encoder(path: str, sharpness: float, text: str, seed: str, out: str):
         vocab = vocabulary(path, sharpness)
         for batch in batches:
             seeds = batch.column(seed).to_numpy().view(np.uint64)
-            made = encode_batch(batch.column(text).to_pylist(), seeds, vocab)
+            made = encode_batch(batch.column(text), seeds, vocab)
             kept = [n for n in batch.schema.names if n != seed]
             columns = [batch.column(n) for n in kept]
             yield pa.RecordBatch.from_arrays([*columns, made], [*kept, out])
@@ -312,18 +338,25 @@ def encode(
     )
 
 
-def decode(pieces: Column, model_file: str) -> Column:
-    """The text that a list of piece ids was made from."""
+def decode_batch(pieces: pa.Array, vocab: Vocabulary) -> pa.Array:
+    """The text of every list of piece ids (null for null)."""
+    ends = pieces.offsets.to_numpy()
+    spelled = vocab.spelled.take(pieces.values.slice(ends[0], ends[-1] - ends[0]))
+    _, offsets, data = spelled.buffers()
+    at = np.frombuffer(offsets, np.int64)[: len(spelled) + 1][ends - ends[0]]
+    whole = pa.Array.from_buffers(
+        pa.large_binary(), len(pieces), [None, pa.py_buffer(np.ascontiguousarray(at)), data]
+    )
+    # Without the space that was put before the text.
+    texts = pc.utf8_slice_codeunits(whole.cast(pa.large_string()), 1)
+    return pc.if_else(pc.is_valid(pieces), texts, None) if pieces.null_count else texts
 
-    @F.pandas_udf("string")
-    def run(rows: pd.Series) -> pd.Series:
-        piece = vocabulary(model_file).bytes.__getitem__
 
-        def text(ids: np.ndarray | None) -> str | None:
-            if ids is None:
-                return None
-            return b"".join(map(piece, ids.tolist())).decode("utf-8", "surrogatepass")[1:]
+def decode(pieces: Column, model_file: str) -> Column:
+    """The text that a list of piece ids was made from."""
 
-        return rows.map(text)
+    @F.arrow_udf("string")
+    def run(rows: pa.Array) -> pa.Array:
+        return decode_batch(rows, vocabulary(model_file)).cast(pa.string())
 
     return run(pieces)

@@ -13,12 +13,17 @@ from likeness.llm import (
     exact_dedup,
     html_extract,
     mixing,
+    pieces,
+    pii,
     simhash,
     substring_dedup,
     toxicity,
 )
 from likeness.llm.tables import table
 
+#: Where the public tokenizer's model lies on every machine.
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The conversation added to the table: both turns hold marks of instruction templates.
@@ -44,6 +49,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates in place of personal data and secrets."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs)
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of what is read back from the formatted conversations."""
     formatted = chat_format.format_conversations(conversations_with_marks(spark, sf_dir))
@@ -72,6 +83,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sentencepiece(
+    spark: SparkSession, sf_dir: str, model_file: str = MODEL_FILE
+) -> DataFrame:
+    """Sampled pieces of every document, and the digest of the text decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, model_file)
+    return encoded.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.sha2(pieces.decode(F.col("pieces"), model_file), 256).alias("decoded_sha256"),
+        "pieces",
+    )
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth one."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -102,9 +127,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_toxicity": op8_toxicity,
     "op9_html_extraction": op9_html_extraction,
