@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from likeness.llm.tables import WORD, filled, held
+from likeness.llm.tables import WORD, filled, free_name, held
 
 #: Hex digits of the shuffle hash that choose the slot within a source.
 SLOT_DIGITS = 3
@@ -149,7 +149,7 @@ def _cutoff(queued: DataFrame) -> DataFrame:
     )
 
 
-def mix(
+def _taken(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -158,7 +158,7 @@ def mix(
     repeats: int = REPEATS,
     seed: str = SEED,
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every row of ``docs``."""
+    """``doc_id, source, size, source_size, target, taken`` for every row of ``docs``."""
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
@@ -189,6 +189,7 @@ def mix(
 
     return placed.crossJoin(F.broadcast(_cutoff(queued))).select(  # one row
         "doc_id",
+        "source",
         "size",
         "source_size",
         "target",
@@ -197,3 +198,33 @@ def mix(
         .cast("long")
         .alias("taken"),
     )
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` for every row of ``docs``.
+
+    Options: ``id_col``, ``text_col``, ``source_col``, ``weights``, ``repeats``, ``seed``.
+    """
+    return _taken(docs, **options).drop("source")
+
+
+def mixed_rows(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options
+) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, once for each time it takes them.
+
+    Rows that share id and source are taken alike, as often as the luckiest.
+    """
+    copies, key, source = (free_name(docs, n) for n in ("copies", "key", "source_key"))
+    picked = (
+        _taken(docs, id_col=id_col, source_col=source_col, **options)
+        .where("taken > 0")
+        .groupBy(F.col("doc_id").alias(key), F.col("source").alias(source))
+        .agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias(copies))
+    )
+    same = docs[id_col].eqNullSafe(picked[key]) & docs[source_col].eqNullSafe(picked[source])
+    return (
+        docs.join(picked, same)
+        .withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
+        .select(*[f"`{c}`" for c in docs.columns])
+    )
