@@ -42,8 +42,8 @@ SPACE = "▁"
 _LITERAL = 0x110000
 SEED = 1
 SHARPNESS = 1.0
-#: Units filtered and sampled together.
-BLOCK = 1 << 19
+#: Units filtered and sampled together, and rows encoded or decoded together.
+BLOCK, ROWS = 1 << 17, 512
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 _SLOT_BITS = 20
 
@@ -308,11 +308,13 @@ def _encoder(path: str, sharpness: float, text: str, seed: str, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, sharpness)
         for batch in batches:
-            seeds = batch.column(seed).to_numpy().view(np.uint64)
-            made = encode_batch(batch.column(text), seeds, vocab)
             kept = [n for n in batch.schema.names if n != seed]
-            columns = [batch.column(n) for n in kept]
-            yield pa.RecordBatch.from_arrays([*columns, made], [*kept, out])
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                seeds = part.column(seed).to_numpy().view(np.uint64)
+                made = encode_batch(part.column(text), seeds, vocab)
+                columns = [part.column(n) for n in kept]
+                yield pa.RecordBatch.from_arrays([*columns, made], [*kept, out])
 
     return run
 
@@ -357,6 +359,8 @@ def decode(pieces: Column, model_file: str) -> Column:
 
     @F.arrow_udf("string")
     def run(rows: pa.Array) -> pa.Array:
-        return decode_batch(rows, vocabulary(model_file)).cast(pa.string())
+        vocab = vocabulary(model_file)
+        parts = [decode_batch(rows[a : a + ROWS], vocab) for a in range(0, len(rows), ROWS)]
+        return pa.concat_arrays([pa.array([], pa.string()), *(p.cast(pa.string()) for p in parts)])
 
     return run(pieces)
