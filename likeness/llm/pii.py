@@ -298,7 +298,9 @@ def replace_entities(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY
 ) -> DataFrame:
     """``docs`` with surrogates in the text, and ``n_entities`` (named freely) as last column."""
-    spans, row, drawn = (free_name(docs, n) for n in ("spans", "row_key", "drawn"))
+    spans, row, match, drawn = (
+        free_name(docs, n) for n in ("spans", "row_key", "match_key", "drawn")
+    )
     count = free_name(docs, "n_entities")
     marked = docs.withColumn(spans, _detect()(F.col(text_col).cast("string")))
     plain = marked.where(F.size(spans) == 0).drop(spans).withColumn(count, F.lit(0))
@@ -311,11 +313,11 @@ def replace_entities(
     )
     pairs = (
         uses.join(assign(uses, key), ["kind", "value"])
-        .groupBy("row")
+        .groupBy(F.col("row").alias(match))
         .agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias(drawn))
     )
     changed = (
-        keyed.join(pairs, F.col(row) == pairs["row"])
+        keyed.join(pairs, F.col(row) == F.col(match))
         .withColumn(text_col, _replaced()(F.col(text_col), F.col(spans), F.col(drawn)))
         .withColumn(count, F.size(spans))
     )
