@@ -7,7 +7,7 @@ differs between regex engines and JDK versions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,6 +120,57 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
+def bound(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build(value)`` with the value computed once, however often it is used.
+
+    A lambda variable is computed once per element, so an array that another
+    lambda looks into is not built again for each of its elements.
+    """
+    return F.element_at(F.transform(F.array(value), build), 1)
+
+
+SUM_BLOCK = 128
+
+
+def running_sums(numbers: Column) -> Column:
+    """Sums up to and including each element of an array of at least one integer.
+
+    Appending copies the array so far, so sums are made block by block: the
+    cost is in proportion to the elements, not to their square.
+    """
+
+    def running(block: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+
+        def step(done: Column, number: Column) -> Column:
+            at = done["at"] + number
+            return F.struct(at.alias("at"), F.array_append(done["all"], at).alias("all"))
+
+        return F.aggregate(block, start, step, lambda done: done["all"])
+
+    last = F.floor((F.size(numbers) - 1) / SUM_BLOCK).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda n: running(F.slice(numbers, n * SUM_BLOCK + 1, F.lit(SUM_BLOCK))),
+    )
+
+    def joined_blocks(sums: Column) -> Column:
+        ends = running(F.transform(sums, lambda block: F.element_at(block, -1)))
+        return bound(
+            ends,
+            lambda e: F.flatten(
+                F.transform(
+                    sums,
+                    lambda block, n: F.transform(
+                        block, lambda x: x + F.coalesce(F.get(e, n - 1), F.lit(0))
+                    ),
+                )
+            ),
+        )
+
+    return bound(blocks, joined_blocks)
+
+
 def any_of(words: Iterable[str]) -> str:
     """Regex alternation of plain words, longest first."""
     return "|".join(sorted(set(words), key=lambda word: (-len(word), word)))

@@ -88,13 +88,15 @@ def simpson_index(
 ) -> DataFrame:
     """Simpson diversity per key: 0 for a specialist, towards 1 for a generalist."""
     total = F.sum("n")
+    # Squares of counts leave the range of integers long before that of doubles.
+    n, all_of_it = F.col("n").cast("double"), total.cast("double")
     return (
         _pairs(gold, key, related)
         .groupBy(key)
         .agg(
             total.alias("total_count"),
             F.count(F.lit(1)).alias("distinct_count"),
-            F.round(1 - F.sum(F.col("n") * F.col("n")) / (total * total), 4).alias("diversity"),
+            F.round(1 - F.sum(n * n) / (all_of_it * all_of_it), 4).alias("diversity"),
         )
         .orderBy(F.desc("diversity"), F.desc("total_count"), key)
     )

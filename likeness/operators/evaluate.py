@@ -239,9 +239,9 @@ def quality_notes(candidates: DataFrame) -> DataFrame:
     )
 
 
-def stage_counts(segments: DataFrame) -> DataFrame:
+def stage_counts(segments: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """Rows per stage of the strict extraction, from one pass over the matches."""
-    matches = ex.strict_matches(segments)
+    matches = ex.strict_matches(segments, lexicon)
     return matches.agg(
         F.count_if(F.col("nth") == 0).alias("prefiltered_rows"),
         F.count(F.lit(1)).alias("match_rows"),

@@ -34,7 +34,7 @@ def match_phrases(
     segment text is dropped before the lexicon join, so a large lexicon that
     has to be shuffled meets short rows only.
     """
-    hits = pt.find_hits(segments, specs, built_in=lexicon is None)
+    hits = pt.find_hits(segments, specs, None if lexicon is None else pt.reach_of(lexicon))
     return pt.with_lexicon(_phrases(hits), specs, lexicon)
 
 

@@ -2,16 +2,16 @@
 
 A pattern is a connector regex plus the ground classes allowed in front of it.
 Matching is anchored on the connector: every connector occurrence is found
-with its offset, the word before it becomes the ground, and the ground is kept
-when it is in the lexicon.  That costs one cheap regex per segment however
-large the lexicon is.
+with its offset, the words before it are candidates for the ground, and the
+longest that is in the lexicon is kept.  That costs one cheap regex per segment
+however large the lexicon is.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from likeness import lexicon as lx
@@ -119,48 +119,87 @@ def prefilter(segments: DataFrame, spec: PatternSpec) -> DataFrame:
     )
 
 
-def _hits(text: Column, spec: PatternSpec) -> Column:
-    """All connector matches of one pattern in a text, as ``HIT_TYPE``."""
+@dataclass(frozen=True)
+class Reach:
+    """How far grounds of a lexicon go back: characters, and joints between words."""
+
+    chars: int
+    joints: int
+
+
+def reach_of(lexicon: DataFrame) -> Reach:
+    """The longest form of a lexicon, from one aggregate over it.
+
+    A form starts and ends with a word character and may hold hyphens,
+    apostrophes or spaces.
+    """
+    runs = F.regexp_count("form", F.lit(rf"{tx.WORD}+"))
+    row = lexicon.agg(
+        F.max(F.char_length("form")).alias("chars"), F.max(runs).alias("runs")
+    ).first()
+    return Reach(row.chars or 0, max(0, (row.runs or 1) - 1))
+
+
+def _grounds(gap: Column, reach: Reach | None) -> Column:
+    """Texts at the end of a gap that may be the ground, one for each number of joints."""
+    if reach is None or not reach.joints:
+        last = F.regexp_extract(F.substring_index(gap, " ", -1), rf"{tx.WORD}+$", 0)
+        return F.array(last)
+    # One character more than the longest form: what is cut off is too long to be a form.
+    end = F.right(gap, F.lit(reach.chars + 1))
+    joint = rf"{tx.WORD}+[^\p{{L}}\p{{N}}_]+"
+    found = [
+        F.regexp_extract(end, rf"(?:{joint}){{{n}}}{tx.WORD}+$", 0) for n in range(reach.joints + 1)
+    ]
+    return F.array_distinct(F.array(*found))
+
+
+def _hits(text: Column, spec: PatternSpec, reach: Reach | None) -> Column:
+    """All connector matches of one pattern in a text with their grounds, as ``HIT_TYPE``."""
     regex = spec.connector_regex()
     parts = F.arrays_zip(
         F.split(text, regex, -1).alias("gap"),
         F.regexp_extract_all(text, F.lit(regex), F.lit(0)).alias("link"),
     )
 
-    def step(done: Column, part: Column) -> Column:
-        gap, link = part["gap"], part["link"]
-        at = done["at"] + F.length(gap)
-        ground = F.regexp_extract(F.substring_index(gap, " ", -1), rf"{tx.WORD}+$", 0)
-        connector_start = at + F.length(link) - F.length(F.ltrim(link))
-        hit = F.struct(
-            ground.alias("ground_text"),
-            (at - F.length(ground)).alias("ground_start"),
-            F.trim(link).alias("connector_text"),
-            connector_start.alias("connector_start"),
-            (connector_start + F.length(F.trim(link))).alias("connector_end"),
-        )
-        return F.struct(
-            (at + F.coalesce(F.length(link), F.lit(0))).alias("at"),
-            F.when(link.isNull(), done["hits"])
-            .otherwise(F.array_append(done["hits"], hit))
-            .alias("hits"),
+    def hits_at(pairs: Column, ends: Column) -> Column:
+        def of_link(pair: Column, n: Column) -> Column:
+            link = pair["link"]
+            at = F.get(ends, n) - F.length(link)
+            start = at + F.length(link) - F.length(F.ltrim(link))
+            return F.transform(
+                _grounds(pair["gap"], reach),
+                lambda ground: F.struct(
+                    ground.alias("ground_text"),
+                    (at - F.length(ground)).alias("ground_start"),
+                    F.trim(link).alias("connector_text"),
+                    start.alias("connector_start"),
+                    (start + F.length(F.trim(link))).alias("connector_end"),
+                ),
+            )
+
+        # The last gap has no link after it.
+        return F.flatten(F.transform(F.slice(pairs, F.lit(1), F.size(pairs) - 1), of_link))
+
+    def walked(pairs: Column) -> Column:
+        steps = F.transform(
+            pairs, lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["link"]), F.lit(0))
         )
+        return tx.bound(tx.bound(steps, tx.running_sums), lambda ends: hits_at(pairs, ends))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(HIT_TYPE).alias("hits"))
-    walked = F.aggregate(parts, start, step, lambda done: done["hits"])
-    return F.when(contains_any(F.lower(text), spec.literals), walked).otherwise(
-        F.array().cast(HIT_TYPE)
-    )
+    return F.when(
+        contains_any(F.lower(text), spec.literals), tx.bound(parts, walked).cast(HIT_TYPE)
+    ).otherwise(F.array().cast(HIT_TYPE))
 
 
-def _tagged_hits(text: Column, same: list[PatternSpec], built_in: bool) -> Column:
+def _tagged_hits(text: Column, same: list[PatternSpec], reach: Reach | None) -> Column:
     """Hits of patterns that share a connector, one element per pattern.
 
-    With the built-in lexicon, grounds are tested before rows are made; ``nth``
-    then counts the curated matches of the segment.
+    With the built-in lexicon (no ``reach``), grounds are tested before rows are
+    made; ``nth`` then counts the curated matches of the segment.
     """
-    hits = _hits(text, same[0])
-    if built_in:
+    hits = _hits(text, same[0], reach)
+    if reach is None:
         forms = lx.ground_forms(same[0].ground_types)
         hits = F.filter(hits, lambda hit: tx.one_of(F.lower(hit["ground_text"]), forms))
     names = F.array(*[F.lit(spec.pattern_type) for spec in same])
@@ -175,18 +214,22 @@ def _tagged_hits(text: Column, same: list[PatternSpec], built_in: bool) -> Colum
     )
 
 
-def find_hits(segments: DataFrame, specs: list[PatternSpec], built_in: bool = True) -> DataFrame:
+def find_hits(
+    segments: DataFrame, specs: list[PatternSpec], reach: Reach | None = None
+) -> DataFrame:
     """All connector matches of one or more patterns, one row each, from one scan.
 
     Adds ``pattern_type, ground_text, ground_start, connector_text,
     connector_start, connector_end, nth`` (rank of the match in its segment).
-    ``built_in`` keeps only grounds of the built-in lexicon.
+    Without ``reach`` only grounds of the built-in lexicon are kept; with it, a
+    match has one row for each text before it that may be a form, and ``nth`` is
+    final only after :func:`with_lexicon`.
     """
     shared: dict[tuple, list[PatternSpec]] = {}
     for spec in specs:
         shared.setdefault((spec.connector, spec.tail, spec.ground_types), []).append(spec)
     text = F.col("text_normalized")
-    arrays = [_tagged_hits(text, same, built_in) for same in shared.values()]
+    arrays = [_tagged_hits(text, same, reach) for same in shared.values()]
     # inline_outer: the inner form would evaluate the array a second time in
     # an inferred size filter.
     return (
@@ -210,7 +253,8 @@ def with_lexicon(
     Adds ``ground_lemma, ground_type, ground_source, ground_reference_path``.
     A given ``lexicon`` may have any size: the join is left to Catalyst, which
     broadcasts it below ``autoBroadcastJoinThreshold`` and otherwise shuffles
-    with AQE splitting hot grounds.
+    with AQE splitting hot grounds.  Of the forms that end at one connector the
+    longest stays, with one reading, and matches are numbered after that.
     """
     table = lx.default_lexicon(hits.sparkSession) if lexicon is None else lexicon
     found = hits.withColumn("form", F.lower("ground_text")).join(table, "form")
@@ -221,7 +265,20 @@ def with_lexicon(
                 (F.col("pattern_type") == spec.pattern_type)
                 & F.col("ground_type").isin(list(spec.ground_types))
             )
-        found = found.where(allowed)
+        segment = ["source_file", "original_line_id", "segment_id", "pattern_type"]
+        in_segment = Window.partitionBy(*segment).orderBy("connector_start")
+        # Partitioned by more columns, so the rows need not move again.
+        readings = Window.partitionBy(*segment, "connector_start").orderBy(
+            F.desc(F.length("ground_text")), "ground_type", "lemma", "ground_source",
+            "ground_reference_path",
+        )
+        found = (
+            found.where(allowed)
+            .withColumn("nth", F.dense_rank().over(in_segment) - 1)
+            .withColumn("reading", F.row_number().over(readings))
+            .where(F.col("reading") == 1)
+            .drop("reading")
+        )
     return found.drop("form").withColumnRenamed("lemma", "ground_lemma")
 
 
@@ -229,4 +286,5 @@ def find_matches(
     segments: DataFrame, specs: list[PatternSpec], lexicon: DataFrame | None = None
 ) -> DataFrame:
     """Hits of the patterns whose ground is in the lexicon."""
-    return with_lexicon(find_hits(segments, specs, lexicon is None), specs, lexicon)
+    reach = None if lexicon is None else reach_of(lexicon)
+    return with_lexicon(find_hits(segments, specs, reach), specs, lexicon)

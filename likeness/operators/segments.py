@@ -48,7 +48,18 @@ def bronze_segments_with(lines: DataFrame, literals: tuple[str, ...]) -> DataFra
     """
     # Lower-casing costs more than the searches, so it is done once per piece.
     pieces = tx.computed_once(_exploded(lines), lowered=F.lower("piece"))
-    return _bronze_columns(pieces.where(contains_any(F.col("lowered"), literals)))
+    held = pieces.where(contains_any(F.col("lowered"), literals))
+    # Generated columns: a later test of match_text stays above the whitespace regex.
+    spaced = tx.computed_once(held, text_normalized=tx.collapse_spaces(F.col("piece")))
+    lowered = tx.computed_once(spaced, match_text=F.lower("text_normalized"))
+    return lowered.select(
+        "source_file",
+        "original_line_id",
+        "segment_id",
+        tx.strip_spaces(F.col("piece")).alias("text_original"),
+        "text_normalized",
+        "match_text",
+    )
 
 
 def contains_any(lowered: Column, literals: tuple[str, ...]) -> Column:
