@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ _LITERAL = 0x110000
 SEED = 1
 SHARPNESS = 1.0
 #: Units filtered and sampled together, and rows encoded or decoded together.
-BLOCK, ROWS = 1 << 17, 512
+BLOCK, ROWS = 1 << 16, 256
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 _SLOT_BITS = 20
 
@@ -304,7 +305,13 @@ def encode_batch(texts: pa.Array, seeds: np.ndarray, vocab: Vocabulary, block: i
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()), mask=null)
 
 
-def _encoder(path: str, sharpness: float, text: str, seed: str, out: str):
+def _digests(texts: pa.Array) -> pa.Array:
+    """The lower-case hex SHA-256 of every text (null for null)."""
+    made = [t if t is None else sha256(t.encode()).hexdigest() for t in texts.to_pylist()]
+    return pa.array(made, pa.string())
+
+
+def _encoder(path: str, sharpness: float, text: str, seed: str, out: str, digest: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, sharpness)
         for batch in batches:
@@ -313,8 +320,11 @@ def _encoder(path: str, sharpness: float, text: str, seed: str, out: str):
                 part = batch.slice(at, ROWS)
                 seeds = part.column(seed).to_numpy().view(np.uint64)
                 made = encode_batch(part.column(text), seeds, vocab)
-                columns = [part.column(n) for n in kept]
-                yield pa.RecordBatch.from_arrays([*columns, made], [*kept, out])
+                columns, names = [*(part.column(n) for n in kept), made], [*kept, out]
+                if digest:
+                    columns.append(_digests(decode_batch(made, vocab)))
+                    names.append(digest)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -327,16 +337,20 @@ def encode(
     out: str = "pieces",
     seed: int = SEED,
     sharpness: float = SHARPNESS,
+    decoded_digest: str | None = None,
 ) -> DataFrame:
     """``docs`` with the sampled piece ids of each text in ``out``.
 
-    ``model_file`` is a path on every executor; it is read there.
+    ``model_file`` is a path on every executor; it is read there.  With
+    ``decoded_digest``, the pieces are decoded again where they were made and a
+    column of that name has the SHA-256 of the decoded text.
     """
     row_seed = free_name(docs, "row_seed")
     seeded = docs.withColumn(row_seed, F.xxhash64(F.lit(seed), F.col(id_col)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    made = f"{fields}, {out} array<int>" + (f", {decoded_digest} string" if decoded_digest else "")
     return seeded.mapInArrow(
-        _encoder(model_file, sharpness, text_col, row_seed, out), f"{fields}, {out} array<int>"
+        _encoder(model_file, sharpness, text_col, row_seed, out, decoded_digest), made
     )
 
 

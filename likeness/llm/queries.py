@@ -88,11 +88,11 @@ def op6_sentencepiece(
 ) -> DataFrame:
     """Sampled pieces of every document, and the digest of the text decoded from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = pieces.encode(docs, model_file)
+    encoded = pieces.encode(docs, model_file, decoded_digest="decoded_sha256")
     return encoded.select(
         "doc_id",
         F.size("pieces").cast("long").alias("n_pieces"),
-        F.sha2(pieces.decode(F.col("pieces"), model_file), 256).alias("decoded_sha256"),
+        "decoded_sha256",
         "pieces",
     )
 

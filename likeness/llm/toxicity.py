@@ -125,7 +125,7 @@ class _Weights(dict):
     def __missing__(self, word: str) -> float:
         keys = [word, *[word[:n] + "*" for n in STEMS if len(word) > n]]
         weight = max((self.lexicon.get(k, 0.0) for k in keys), default=0.0)
-        if len(self) > 200_000:
+        if len(self) > 50_000:
             self.clear()
         self[word] = weight
         return weight
