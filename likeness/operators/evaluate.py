@@ -192,35 +192,6 @@ def strategy_table(cells: DataFrame, baseline: DataFrame) -> DataFrame:
     return _strategy_columns(marked.withColumn("known", F.col("_known").isNotNull()))
 
 
-def strategy_from_segments(segments: DataFrame) -> DataFrame:
-    """Strategy table for all variants from one scan of the segments.
-
-    Article and variant candidates come out of the same pass and are reduced
-    to one row per pair with a count per pattern, so no join is needed: a pair
-    is known when its row counts an accepted article candidate.
-    """
-    names = list(pt.VARIANTS)
-    pattern = F.col("pattern_type")
-    counted = []
-    for i, name in enumerate(names):
-        counted.append(F.count_if(pattern == name).alias(f"n_{i}"))
-        counted.append(F.count_if((pattern == name) & _is_accepted()).alias(f"accepted_{i}"))
-    known = F.count_if((pattern == pt.ARTICLE.pattern_type) & _is_accepted()) > 0
-    pairs = ex.labelled_pairs(segments).groupBy("ground_lemma", "vehicle_head_clean")
-    per_pattern = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("pattern_type"),
-                F.col(f"n_{i}").alias("n"),
-                F.col(f"accepted_{i}").alias("accepted"),
-            )
-            for i, name in enumerate(names)
-        ]
-    )
-    wide = pairs.agg(known.alias("known"), *counted)
-    return _strategy_columns(wide.select("known", F.inline(per_pattern)).where(F.col("n") > 0))
-
-
 def quality_notes(candidates: DataFrame) -> DataFrame:
     """Totals per pattern: candidates, accepted, rate and label counts."""
     label = F.col("quality_label")

@@ -313,26 +313,3 @@ def accepted(candidates: DataFrame) -> DataFrame:
 def not_accepted(candidates: DataFrame) -> DataFrame:
     """Candidates labelled review or reject."""
     return candidates.where(F.col("quality_label").isin("review", "reject"))
-
-
-# ---- article and variants together ---------------------------------------------
-
-
-def labelled_pairs(segments: DataFrame) -> DataFrame:
-    """Pattern, label, ground and head of article and variant candidates.
-
-    One pass finds the matches of all patterns; article rows are labelled by
-    the strict rules, the others by the variant rules.
-    """
-    specs = [pt.ARTICLE, *pt.VARIANTS.values()]
-    found = match_phrases(segments, specs).where(F.size("tokens") > 0)
-    strict = F.col("pattern_type") == pt.ARTICLE.pattern_type
-    strict_label = F.when(F.col("reject_reason") == "", "keep").otherwise("reject")
-    return label_strict(label_variants(found)).select(
-        "pattern_type",
-        "ground_lemma",
-        F.when(strict, F.lower("vehicle_head"))
-        .otherwise(F.col("vehicle_head_clean"))
-        .alias("vehicle_head_clean"),
-        F.when(strict, strict_label).otherwise(F.col("quality_label")).alias("quality_label"),
-    )

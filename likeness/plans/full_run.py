@@ -50,24 +50,38 @@ def run(
     root: str,
     morphology: DataFrame | None = None,
     generated_at: str | None = None,
+    lexicon: DataFrame | None = None,
+    line_ids: str = "per_file",
+    pattern_types: list[str] | None = None,
+    accepted_samples: dict[str, int] | None = None,
+    spread: bool = False,
 ) -> dict[str, object]:
     """Build bronze if missing, then gold, reports, export, variants and merged set.
 
+    ``lexicon`` replaces the built-in grounds, ``pattern_types`` chooses the
+    variants (all by default; head labels and the merged set need the second
+    bare pattern), ``accepted_samples`` sizes their accepted review samples,
+    ``line_ids`` and ``spread`` say how raw text is numbered and dealt out.
+
     The bronze table is scanned once: the matches of all patterns are stored
     and every output is made from them.
     Returns the export manifest.
     """
     at = Layout.below(root)
-    segments = load_or_build_bronze(spark, input_path, at.bronze)
-    specs = [pt.ARTICLE, *pt.VARIANTS.values()]
-    found = ex.match_phrases(segments, specs)
+    segments = load_or_build_bronze(spark, input_path, at.bronze, line_ids, spread)
+    names = list(pt.VARIANTS) if pattern_types is None else pattern_types
+    specs = [pt.ARTICLE, *(pt.variant(name) for name in names)]
+    found = ex.match_phrases(segments, specs, lexicon)
     write_parquet(found, at.matches)
     phrases = spark.read.schema(found.schema).parquet(at.matches)
     gold, _ = gp.write_gold(phrases, at.gold)
     gp.write_gold_reports(gold, at.reports)
     manifest = gp.write_export(gold, at.export, "comparisons", at.gold, generated_at)
-    candidates = vp.write_variants(phrases, at.variants, at.variant_reports)
+    candidates = vp.write_variants(
+        phrases, at.variants, at.variant_reports, names, accepted_samples=accepted_samples
+    )
     vp.write_strategy(candidates, gold, at.variant_reports)
-    labelled = vp.write_head_labels(candidates, at.variants, at.variant_reports, morphology)
-    vp.write_merged(gold, labelled, at.merged, at.merged_reports)
+    if pt.BARE_V2.pattern_type in names:
+        labelled = vp.write_head_labels(candidates, at.variants, at.variant_reports, morphology)
+        vp.write_merged(gold, labelled, at.merged, at.merged_reports)
     return manifest

@@ -34,7 +34,14 @@ def output_path(root: str, pattern_type: str) -> str:
     return f"{root}/{pt.variant(pattern_type).pattern_type}"
 
 
-def variant_reports(candidates: DataFrame) -> dict[str, DataFrame]:
+#: Accepted rows to review: the second bare pattern is reviewed in a larger sample.
+ACCEPTED_SAMPLE = 200
+ACCEPTED_SAMPLES = {pt.BARE_V2.pattern_type: 500}
+
+
+def variant_reports(
+    candidates: DataFrame, accepted_sample: int = ACCEPTED_SAMPLE
+) -> dict[str, DataFrame]:
     """Review tables of one variant's candidates by output name."""
     taken = ex.accepted(candidates)
     return {
@@ -42,7 +49,7 @@ def variant_reports(candidates: DataFrame) -> dict[str, DataFrame]:
         "ground_vehicle_counts.csv": ct.variant_pair_counts(taken),
         "vehicle_counts.csv": ct.variant_vehicle_counts(taken),
         "review_sample.csv": sm.variant_review_sample(candidates),
-        "accepted_review_sample.csv": sm.accepted_review_sample(candidates),
+        "accepted_review_sample.csv": sm.accepted_review_sample(candidates, accepted_sample),
         "quality_notes.csv": ev.quality_notes(candidates),
         "top_pairs.csv": sm.top_pairs(candidates),
     }
@@ -54,20 +61,27 @@ def write_variants(
     output_root: str,
     pattern_types: list[str] | None = None,
     mode: str = "overwrite",
+    accepted_samples: dict[str, int] | None = None,
 ) -> DataFrame:
     """Label variant matches, write datasets and review tables.
 
     ``phrases`` is a stored match table (``match_phrases``): candidates and
-    comparison both read it.  Returns the written candidates.
+    comparison both read it.  ``accepted_samples`` gives the rows of the accepted
+    review sample by pattern, ``ACCEPTED_SAMPLES`` and then ``ACCEPTED_SAMPLE``
+    by default.  All reports read the candidates once.  Returns the written
+    candidates.
     """
+    samples = {**ACCEPTED_SAMPLES, **(accepted_samples or {})}
     names = list(pt.VARIANTS) if pattern_types is None else pattern_types
     matches = ex.label_variants(ex.of_patterns(phrases, *names))
     write_parquet(ex.variant_columns(matches), dataset_path(dataset_root), mode, ["pattern_type"])
     candidates = read_variants(phrases.sparkSession, dataset_path(dataset_root))
-    write_parquet(ex.accepted(candidates), accepted_path(dataset_root), mode, ["pattern_type"])
-    for name in names:
-        one = candidates.where(F.col("pattern_type") == name)
-        write_csv_tables(variant_reports(one), output_path(output_root, name), mode)
+    with cached(candidates) as held:
+        write_parquet(ex.accepted(held), accepted_path(dataset_root), mode, ["pattern_type"])
+        for name in names:
+            one = held.where(F.col("pattern_type") == name)
+            reports = variant_reports(one, samples.get(name, ACCEPTED_SAMPLE))
+            write_csv_tables(reports, output_path(output_root, name), mode)
     write_csv(ev.comparison_table(matches, names), f"{output_root}/comparison_table.csv", mode)
     if pt.BARE_V2.pattern_type in names:
         folder = output_path(output_root, pt.BARE_V2.pattern_type)
@@ -109,8 +123,9 @@ def write_head_labels(
     write_parquet(labels, path, mode)
     labelled = candidates.sparkSession.read.schema(labels.schema).parquet(path)
     taken = f"{dataset_root}/{hd.LABELLED_PATTERN}/accepted_candidates"
-    write_parquet(hd.head_accepted(labelled), taken, mode)
-    write_csv_tables(head_reports(labelled), f"{output_root}/{hd.LABELLED_PATTERN}", mode)
+    with cached(labelled) as held:
+        write_parquet(hd.head_accepted(held), taken, mode)
+        write_csv_tables(head_reports(held), f"{output_root}/{hd.LABELLED_PATTERN}", mode)
     return labelled
 
 

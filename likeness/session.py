@@ -10,8 +10,9 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-# AQE coalesces small shuffle partitions and splits skewed ones, so the static
-# partition count only has to be an upper bound for the cluster at hand.
+# AQE coalesces small shuffle partitions and splits skewed joins, so the initial
+# partition count only has to be an upper bound for the cluster at hand; see
+# ``initial_partitions``.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -38,7 +39,16 @@ def build_session(
         chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in {**chosen, **(settings or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if not shuffle_partitions and spark.conf.get(initial, None) is None:
+        spark.conf.set(initial, str(initial_partitions(spark)))
+    return spark
+
+
+def initial_partitions(spark: SparkSession) -> int:
+    """Shuffle partitions before AQE joins them: enough for four waves over all cores."""
+    return max(200, 4 * spark.sparkContext.defaultParallelism)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -69,6 +79,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A DataFrame cut off from its lineage by a checkpoint in the shared folder.
+
+    Like :func:`staged` it survives lost executors; Spark's cleaner removes the
+    files with the DataFrame where ``cleanCheckpoints`` is set.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Persist a DataFrame around a multi-output job and release it after."""

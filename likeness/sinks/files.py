@@ -2,7 +2,9 @@
 
 Every output is a folder of part files.  Nothing is forced into one part:
 ordered count tables are range-partitioned and AQE merges the parts of a small
-table, limited samples come out as one part anyway.
+table, limited samples come out as one part anyway.  Candidate tables hold rare
+matches from every split of the corpus; they are rebalanced to parts of AQE's
+advisory size before they are written, or each split would leave a tiny file.
 """
 
 from __future__ import annotations
@@ -11,10 +13,15 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: list[str] | None = None,
+    compact: bool = True,
 ) -> None:
-    """Write a Parquet table."""
-    writer = df.write.mode(mode)
+    """Write a Parquet table; ``compact`` rebalances its rows first (by partition column)."""
+    rows = df.hint("rebalance", *(partition_by or [])) if compact else df
+    writer = rows.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPLITS_PER_CORE = 2
-BROADCAST_BLOCKS = 500_000  # about 100 MB of paths and numbers
 BLOCK_SALTS = 64
 
 
@@ -40,7 +39,7 @@ def read_lines(
         )
     # A block is a contiguous range of one file read by one task, so ids are
     # consecutive in it.
-    numbered = _with_blocks(scanned, _first_lines(scanned), _most_blocks(spark.read.text(path)))
+    numbered = _with_blocks(scanned, _first_lines(scanned))
     return numbered.select(
         file.alias("source_file"),
         (F.col("scan_id") - F.col("first_scan_id") + F.col("lines_before")).alias(
@@ -50,24 +49,17 @@ def read_lines(
     )
 
 
-def _most_blocks(scan: DataFrame) -> int:
-    """Upper bound of the block table's rows: one per split plus one per file."""
-    return scan.rdd.getNumPartitions() + len(scan.inputFiles())
-
-
-def _with_blocks(scanned: DataFrame, blocks: DataFrame, most: int) -> DataFrame:
+def _with_blocks(scanned: DataFrame, blocks: DataFrame) -> DataFrame:
     """Join every line with its block.
 
-    A block table within ``BROADCAST_BLOCKS`` rows is broadcast.  Above, the
-    join is shuffled with salted keys: a compressed file is one block, so its
-    lines would otherwise all meet in one task.
+    The join has no hint: Catalyst broadcasts the block table where its measured
+    size is below the threshold, and shuffles otherwise.  The keys are salted for
+    that case: a compressed file is one block, whose lines would meet in one task.
     """
-    keys = ["file_path", "block_start"]
-    if most <= BROADCAST_BLOCKS:
-        return scanned.join(F.broadcast(blocks), keys)
     salts = F.explode(F.sequence(F.lit(0), F.lit(BLOCK_SALTS - 1)))
     salted = scanned.withColumn("salt", F.pmod("scan_id", F.lit(BLOCK_SALTS)).cast("int"))
-    return salted.join(blocks.withColumn("salt", salts), [*keys, "salt"]).drop("salt")
+    keys = ["file_path", "block_start", "salt"]
+    return salted.join(blocks.withColumn("salt", salts), keys).drop("salt")
 
 
 def _first_lines(scanned: DataFrame) -> DataFrame:
@@ -83,15 +75,6 @@ def _first_lines(scanned: DataFrame) -> DataFrame:
     return blocks.withColumn("lines_before", running).drop("lines")
 
 
-def has_few_splits(scan: DataFrame) -> bool:
-    """True when a plain file scan has too few splits to keep all cores busy.
-
-    Compressed files and single row groups are read by one task each.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return 1 < cores and scan.rdd.getNumPartitions() < SPLITS_PER_CORE * cores
-
-
 def spread_lines(lines: DataFrame, partitions: int | None = None) -> DataFrame:
     """Spread lines over the cluster before CPU-heavy work.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from likeness import schemas
 from likeness.operators.segments import bronze_segments
-from likeness.sources.raw_text import has_few_splits, read_lines, spread_lines
+from likeness.sources.raw_text import read_lines, spread_lines
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -33,12 +33,18 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 
 def build_bronze(
-    spark: SparkSession, input_path: str | list[str], line_ids: str = "per_file"
+    spark: SparkSession,
+    input_path: str | list[str],
+    line_ids: str = "per_file",
+    spread: bool = False,
 ) -> DataFrame:
-    """Bronze segments straight from raw text files."""
+    """Bronze segments straight from raw text files.
+
+    ``spread`` deals the lines out over the cluster first; it is worth its
+    shuffle for a few large compressed files, each of which one task reads.
+    """
     lines = read_lines(spark, input_path, line_ids)
-    few = has_few_splits(spark.read.text(input_path))
-    return bronze_segments(spread_lines(lines) if few else lines)
+    return bronze_segments(spread_lines(lines) if spread else lines)
 
 
 def load_or_build_bronze(
@@ -46,6 +52,7 @@ def load_or_build_bronze(
     input_path: str | list[str],
     bronze_path: str,
     line_ids: str = "per_file",
+    spread: bool = False,
 ) -> DataFrame:
     """The bronze table at ``bronze_path``, built first when it is not complete.
 
@@ -53,5 +60,6 @@ def load_or_build_bronze(
     from splittable columnar files.
     """
     if not is_complete(spark, bronze_path):
-        build_bronze(spark, input_path, line_ids).write.mode("overwrite").parquet(bronze_path)
+        bronze = build_bronze(spark, input_path, line_ids, spread)
+        bronze.write.mode("overwrite").parquet(bronze_path)
     return read_bronze(spark, bronze_path)

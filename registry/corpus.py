@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likeness.sources.raw_text import has_few_splits, spread_lines
+from likeness.sources.raw_text import spread_lines
 
 WORDS = [
     ("of", "como"), ("the", "uma"), ("a", "um"), ("and", "forte"), ("in", "duro"),
@@ -82,7 +82,7 @@ def _text_table(
         F.col(text).alias("raw_text"),
     )
     # The driver's tables are one row group each, so one task would read all.
-    return spread_lines(lines) if has_few_splits(lines) else lines
+    return spread_lines(lines)
 
 
 def corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from likeness.operators import merge as mg
 from likeness.operators import patterns as pt
 from likeness.operators import samples as sm
 from likeness.operators import segments as sg
-from likeness.session import staged
+from likeness.session import checkpointed
 from registry import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,7 @@ def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stored_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return xp.clean_candidates(staged(_gold(spark, sf), "gold"))
+    return xp.clean_candidates(checkpointed(_gold(spark, sf)))
 
 
 def _variants(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,7 +72,7 @@ def _stored_matches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
     # Gold and bare candidates from one corpus scan: the matches, a small part
     # of the text, are stored once and both branches read them.
     specs = [pt.ARTICLE, pt.BARE_V2]
-    phrases = staged(ex.match_phrases(_segments(spark, sf, *specs), specs), "matches")
+    phrases = checkpointed(ex.match_phrases(_segments(spark, sf, *specs), specs))
     article = ex.of_patterns(phrases, pt.ARTICLE.pattern_type)
     bare = ex.of_patterns(phrases, pt.BARE_V2.pattern_type)
     gold = ex.gold_from_matches(ex.label_strict(article))
@@ -116,8 +116,14 @@ def _new_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _strategy(spark: SparkSession, sf: str) -> DataFrame:
+    # One corpus scan for gold and all variants, then the table that a run writes.
     specs = [pt.ARTICLE, *pt.VARIANTS.values()]
-    return ev.strategy_from_segments(_segments(spark, sf, *specs))
+    phrases = checkpointed(ex.match_phrases(_segments(spark, sf, *specs), specs))
+    article = ex.of_patterns(phrases, pt.ARTICLE.pattern_type)
+    gold = ex.gold_from_matches(ex.label_strict(article))
+    others = ex.label_variants(ex.of_patterns(phrases, *pt.VARIANTS))
+    cells = ev.pair_cells(ex.variant_columns(others))
+    return ev.strategy_table(cells, ev.baseline_pairs(gold))
 
 
 def _pattern_union(spark: SparkSession, sf: str) -> DataFrame:

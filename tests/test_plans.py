@@ -44,7 +44,6 @@ def test_scan_reads_only_needed_columns(stored_segments):
 def test_evaluation_tables_scan_once(stored_segments):
     matches = ex.variant_matches(stored_segments, list(pt.VARIANTS))
     assert _plan(ev.comparison_table(matches)).count("FileScan") == 1
-    assert _plan(ev.strategy_from_segments(stored_segments)).count("FileScan") == 1
     assert _plan(xp.manifest(xp.clean_candidates(ex.gold_candidates(stored_segments)))).count(
         "FileScan"
     ) == 1

@@ -66,10 +66,15 @@ def test_line_numbers_over_several_blocks_of_one_file(spark, tmp_path):
     assert all(r.raw_text == f"line {r.original_line_id}" for r in rows)
 
 
-def test_salted_block_join_gives_the_same_lines(spark, shards, monkeypatch):
+def test_shuffled_block_join_gives_the_same_lines(spark, shards):
     wanted = _ids(rt.read_lines(spark, f"{shards}/*.gz"))
-    monkeypatch.setattr(rt, "BROADCAST_BLOCKS", 0)
-    assert _ids(rt.read_lines(spark, f"{shards}/*.gz")) == wanted
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        assert _ids(rt.read_lines(spark, f"{shards}/*.gz")) == wanted
+    finally:
+        spark.conf.set(threshold, old)
 
 
 def test_scan_order_ids_are_unique(spark, shards):
@@ -80,8 +85,6 @@ def test_scan_order_ids_are_unique(spark, shards):
 
 
 def test_spreading_keeps_all_lines(spark, shards):
-    scan = spark.read.text(f"{shards}/shard-1.txt.gz")
-    assert rt.has_few_splits(scan)
     lines = rt.read_lines(spark, f"{shards}/*.gz")
     spread = rt.spread_lines(lines, 6)
     assert spread.rdd.getNumPartitions() == 6
@@ -168,6 +171,35 @@ def test_full_run_writes_every_output(spark, tmp_path):
     assert merged.columns == schemas.MERGED_COLUMNS
 
 
+def test_full_run_with_a_lexicon_and_chosen_patterns(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    lines = [f"Era bem humorado como o pai {i}." for i in range(3)]
+    lines += [f"Era bem-humorado como uma pedra e forte como palavra{chr(97 + i % 26)}{chr(97 + i // 26)}." for i in range(600)]
+    _gzip(raw / "a.txt.gz", lines)
+    rows = [(f, f, "quality_adjective", "own", "own") for f in ("bem humorado", "bem-humorado", "forte")]
+    words = spark.createDataFrame(rows, schemas.LEXICON)
+    root = str(tmp_path / "out")
+    names = [pt.BARE.pattern_type, pt.BARE_V2.pattern_type]
+    manifest = full_run.run(
+        spark, f"{raw}/*.gz", root, lexicon=words, line_ids="scan_order", pattern_types=names, spread=True
+    )
+    assert manifest["candidate_count"] == 600
+    at = full_run.Layout.below(root)
+    gold = tb.read_gold(spark, at.gold)
+    assert {r[0] for r in gold.select("ground_lemma").distinct().collect()} == {"bem-humorado"}
+    candidates = tb.read_variants(spark, vp.dataset_path(at.variants))
+    assert {r[0] for r in candidates.select("pattern_type").distinct().collect()} == set(names)
+
+    def sampled(name):
+        path = f"{vp.output_path(at.variant_reports, name)}/accepted_review_sample.csv"
+        return spark.read.option("header", True).csv(path).count()
+
+    assert (sampled(names[0]), sampled(names[1])) == (200, 500)
+    # Rare matches are rebalanced: no file for each split of the corpus.
+    assert len(list(Path(at.gold).glob("part-*"))) == 1
+
+
 def test_gold_write_reports_row_counts(spark, tmp_path, lines_of):
     segments = bronze_segments(lines_of(*SENTENCES))
     specs = [pt.ARTICLE, pt.BARE]
