@@ -210,9 +210,11 @@ def quality_notes(candidates: DataFrame) -> DataFrame:
     )
 
 
-def stage_counts(segments: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
+def stage_counts(
+    segments: DataFrame, lexicon: DataFrame | None = None, spec: pt.PatternSpec = pt.ARTICLE
+) -> DataFrame:
     """Rows per stage of the strict extraction, from one pass over the matches."""
-    matches = ex.strict_matches(segments, lexicon)
+    matches = ex.strict_matches(segments, lexicon, spec)
     return matches.agg(
         F.count_if(F.col("nth") == 0).alias("prefiltered_rows"),
         F.count(F.lit(1)).alias("match_rows"),

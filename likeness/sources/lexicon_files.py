@@ -12,28 +12,41 @@ _LINE_BREAK = r"\r?\n"
 _BLANK_LINES = r"\r?\n[ \t]*(?:\r?\n[ \t]*)+"
 
 
+def quality_words(lines: DataFrame) -> DataFrame:
+    """Lexicon rows of word lines (``value``, ``path``): every word is its own lemma.
+
+    Blank lines are ignored.
+    """
+    return lines.select(
+        F.lower(F.trim("value")).alias("form"),
+        F.lower(F.trim("value")).alias("lemma"),
+        F.lit(lx.QUALITY_ADJECTIVE).alias("ground_type"),
+        F.lit("quality_reference").alias("ground_source"),
+        F.col("path").alias("ground_reference_path"),
+    ).where(F.col("form") != "")
+
+
 def read_quality_words(spark: SparkSession, path: str) -> DataFrame:
-    """One word per line, blank lines ignored; every word is its own lemma."""
-    return (
-        spark.read.text(path)
-        .select(
-            F.lower(F.trim("value")).alias("form"),
-            F.lower(F.trim("value")).alias("lemma"),
-            F.lit(lx.QUALITY_ADJECTIVE).alias("ground_type"),
-            F.lit("quality_reference").alias("ground_source"),
-            F.col("_metadata.file_path").alias("ground_reference_path"),
-        )
-        .where(F.col("form") != "")
+    """One word per line of a text file."""
+    return quality_words(
+        spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
     )
 
 
 def read_verb_groups(spark: SparkSession, path: str) -> DataFrame:
-    """Groups of forms separated by blank lines; the first form is the lemma.
+    """Groups of forms in a text file, which is read as one value: a word list, not a corpus."""
+    files = spark.read.text(path, wholetext=True)
+    return verb_groups(files.select("value", F.col("_metadata.file_path").alias("path")))
+
+
+def verb_groups(files: DataFrame) -> DataFrame:
+    """Lexicon rows of whole files (``value``, ``path``) of forms, one a line.
 
+    Groups are separated by blank lines; the first form of a group is the lemma.
     A form listed under several verbs keeps the one listed first.
     """
-    groups = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("ground_reference_path"),
+    groups = files.select(
+        F.col("path").alias("ground_reference_path"),
         F.posexplode(F.split(F.trim("value"), _BLANK_LINES)).alias("group_id", "block"),
     )
     words = F.filter(

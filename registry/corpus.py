@@ -128,3 +128,39 @@ def benchmark_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("benchmark").alias("ground_reference_path"),
         )
     )
+
+
+def benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark lexicon and the two-word phrases of its passages."""
+    words = benchmark_lexicon(spark, sf_dir)
+    pairs = F.regexp_extract_all(
+        F.lower("text"), F.lit(r"[\p{L}\p{N}_]+ [\p{L}\p{N}_]+"), F.lit(0)
+    )
+    phrases = (
+        _table(spark, sf_dir, "benchmark")
+        .select(F.explode(pairs).alias("form"))
+        .distinct()
+        .select(
+            "form",
+            F.col("form").alias("lemma"),
+            F.lit("quality_adjective").alias("ground_type"),
+            F.lit("phrase").alias("ground_source"),
+            F.lit("benchmark").alias("ground_reference_path"),
+        )
+    )
+    return words.unionByName(phrases)
+
+
+def word_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the documents, as lines of word files."""
+    return _table(spark, sf_dir, "documents").select(
+        F.col("source").alias("path"), F.explode(F.split("text", "\n")).alias("value")
+    )
+
+
+def verb_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of forms: a word is a line, a full stop ends a group."""
+    value = "replace(replace(text, '.', '\\n\\n'), ' ', '\\n')"
+    return _table(spark, sf_dir, "documents").select(
+        F.concat_ws("-", "source", "doc_id").alias("path"), F.expr(value).alias("value")
+    )

@@ -861,3 +861,81 @@ FROM pairs GROUP BY 1"""
     "english_page_counts": _english("pages", _GV),
     "english_conversation_counts": _english("conversations", _GV),
 }
+
+# ---- lexicons of any form, and lexicon files ---------------------------------------
+
+_BEFORE = r"[\p{L}\p{N}_]+[^\p{L}\p{N}_]+[\p{L}\p{N}_]+$"
+_PHRASE_LEXICON = r"""lexicon AS (
+  SELECT DISTINCT form, form AS lemma, 'benchmark' AS ground_source
+  FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+', 0)) AS form FROM benchmark)
+  UNION ALL
+  SELECT DISTINCT form, form, 'phrase'
+  FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+ [\p{L}\p{N}_]+', 0)) AS form
+        FROM benchmark))"""
+ORACLE["lexicon_phrase_counts"] = rf"""WITH {_bronze("documents")},
+shadowed AS (
+  SELECT *, regexp_replace(text_normalized, '{NON_ASCII_WORD}', '_', 'g') AS shadow FROM bronze),
+{_PHRASE_LEXICON},
+hits AS (
+  SELECT *, ground_start + length(ground_text) AS ground_end,
+    coalesce(lag(connector_end) OVER (
+      PARTITION BY source_file, original_line_id, segment_id ORDER BY connector_start), 0) AS free
+  FROM ({_pattern_matches(ENGLISH.pattern_type)})),
+candidates AS (
+  SELECT *, ground_text AS candidate FROM hits
+  UNION ALL
+  SELECT * FROM (
+    SELECT *, regexp_extract(substr(text_normalized, 1, ground_end), '{_BEFORE}') AS candidate
+    FROM hits)
+  WHERE candidate <> '' AND ground_end - length(candidate) >= free),
+matches AS (
+  SELECT ground_source, lemma AS ground_lemma
+  FROM candidates JOIN lexicon ON lower(candidate) = form
+  QUALIFY row_number() OVER (
+    PARTITION BY source_file, original_line_id, segment_id, connector_start
+    ORDER BY length(candidate) DESC) = 1)
+{_counts("matches", "ground_source", "ground_lemma")}"""
+ORACLE["quality_words"] = """
+SELECT lower(trim(value)) AS form, lower(trim(value)) AS lemma, 'quality_adjective' AS ground_type,
+  'quality_reference' AS ground_source, source AS ground_reference_path
+FROM (SELECT source, unnest(string_split(text, chr(10))) AS value FROM documents)
+WHERE trim(value) <> ''"""
+ORACLE["verb_groups"] = r"""WITH files AS (
+  SELECT source || '-' || doc_id AS path,
+    trim(replace(replace(text, '.', chr(10) || chr(10)), ' ', chr(10))) AS value FROM documents),
+blocks AS (
+  SELECT path, string_split_regex(value, '\r?\n[ \t]*(?:\r?\n[ \t]*)+') AS blocks FROM files),
+groups AS (
+  SELECT path, unnest(blocks) AS block, generate_subscripts(blocks, 1) AS group_id FROM blocks),
+words AS (
+  SELECT path, group_id, list_filter(list_transform(string_split_regex(block, '\r?\n'),
+    lambda w: lower(trim(w))), lambda w: w <> '') AS words FROM groups),
+forms AS (SELECT path, group_id, words[1] AS lemma, unnest(words) AS form FROM words)
+SELECT form, lemma, 'salient_verb' AS ground_type, 'verb_reference' AS ground_source,
+  path AS ground_reference_path
+FROM forms
+QUALIFY row_number() OVER (PARTITION BY form ORDER BY path, group_id, lemma) = 1"""
+
+
+# ---- unmodified documents: the same tails on English matches ------------------------
+
+_ENGLISH_MATCHES = _matches(ENGLISH.pattern_type, kind="documents", lexicon=_BENCHMARK)
+
+
+def _on_documents(sql: str) -> str:
+    """A query's SQL with the matches of the re-worded corpus replaced by English ones."""
+    for names in ((pt.ARTICLE.pattern_type,), tuple(pt.VARIANTS), (_V2,)):
+        corpus_matches = _matches(*names)
+        if sql.startswith(corpus_matches + ","):
+            return _ENGLISH_MATCHES + sql.removeprefix(corpus_matches)
+    raise ValueError("Not a query on the matches of one pattern family")
+
+
+for _name in """
+gold_candidates labelled_candidates reject_reason_counts ground_counts vehicle_counts examples
+review_sample backend_candidates export_ground_vehicle export_ground_counts manifest dominance
+ground_fingerprint simpson_index length_distribution noise_profile use_type_counts
+pattern_candidates label_counts pattern_pair_counts reason_counts nlp_labels nlp_label_counts
+""".split():
+    ORACLE[f"english_{_name}"] = _on_documents(ORACLE[_name])
+ORACLE["stage_counts_with_lexicon"] = _on_documents(ORACLE["stage_counts"])

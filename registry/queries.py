@@ -18,6 +18,7 @@ from likeness.operators import patterns as pt
 from likeness.operators import samples as sm
 from likeness.operators import segments as sg
 from likeness.session import checkpointed
+from likeness.sources import lexicon_files
 from registry import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +90,44 @@ def _english(lines: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
     return ex.gold_candidates(segments, corpus.benchmark_lexicon(spark, sf), ENGLISH)
 
 
+def _english_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return sg.bronze_segments_with(corpus.document_lines(spark, sf), ENGLISH.literals)
+
+
+def _english_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    words = corpus.benchmark_lexicon(spark, sf)
+    return ex.labelled_candidates(_english_segments(spark, sf), words, ENGLISH)
+
+
+def _english_gold(spark: SparkSession, sf: str) -> DataFrame:
+    return _english(corpus.document_lines(spark, sf), spark, sf)
+
+
+def _english_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    return xp.clean_candidates(_english_gold(spark, sf))
+
+
+def _english_variants(spark: SparkSession, sf: str) -> DataFrame:
+    words = corpus.benchmark_lexicon(spark, sf)
+    phrases = ex.match_phrases(_english_segments(spark, sf), [ENGLISH], words)
+    return ex.variant_columns(ex.label_variants(phrases))
+
+
+def _english_heads(spark: SparkSession, sf: str) -> DataFrame:
+    return hd.classify_heads(_english_variants(spark, sf))
+
+
+def _english_stages(spark: SparkSession, sf: str) -> DataFrame:
+    words = corpus.benchmark_lexicon(spark, sf)
+    return ev.stage_counts(_english_segments(spark, sf), words, ENGLISH)
+
+
+def _phrase_counts(spark: SparkSession, sf: str) -> DataFrame:
+    words = corpus.benchmark_phrases(spark, sf)
+    matches = pt.find_matches(_english_segments(spark, sf), [ENGLISH], words)
+    return ct.ranked_counts(matches, "ground_source", "ground_lemma")
+
+
 def _flat(df: DataFrame) -> DataFrame:
     """Arrays as text, for comparison with SQL results."""
     arrays = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
@@ -242,4 +281,37 @@ QUERIES: dict[str, Query] = {
     "english_conversation_counts": lambda s, d: ct.ground_vehicle_counts(
         _english(corpus.conversation_lines(s, d), s, d)
     ),
+    "lexicon_phrase_counts": _phrase_counts,
+    "stage_counts_with_lexicon": _english_stages,
+    # lexicon files parsed from tables
+    "quality_words": _on(corpus.word_lines, lexicon_files.quality_words),
+    "verb_groups": _on(corpus.verb_files, lexicon_files.verb_groups),
+    # the same operators on unmodified documents, with connectors and grounds of their own
+    "english_gold_candidates": _on(_english_gold, _same),
+    "english_labelled_candidates": _on(_english_labelled, _same),
+    "english_reject_reason_counts": _on(_english_labelled, an.reject_report),
+    "english_ground_counts": _on(_english_gold, ct.ground_counts),
+    "english_vehicle_counts": _on(_english_gold, ct.vehicle_counts),
+    "english_examples": _on(_english_gold, sm.examples),
+    "english_review_sample": _on(_english_gold, sm.review_sample),
+    "english_backend_candidates": _on(_english_cleaned, xp.export_records),
+    "english_export_ground_vehicle": _on(_english_cleaned, xp.ground_vehicle_export),
+    "english_export_ground_counts": _on(_english_cleaned, xp.ground_export),
+    "english_manifest": _on(_english_cleaned, _manifest),
+    "english_dominance": _on(_english_gold, an.dominance),
+    "english_ground_fingerprint": _on(_english_gold, an.ground_fingerprint),
+    "english_simpson_index": _on(_english_gold, an.simpson_index),
+    "english_length_distribution": _on(_english_gold, an.length_distribution),
+    "english_noise_profile": _on(_english_gold, an.noise_profile),
+    "english_use_type_counts": _on(_english_gold, an.use_type_counts),
+    "english_pattern_candidates": _on(_english_variants, _same),
+    "english_label_counts": _on(_english_variants, ct.label_counts),
+    "english_pattern_pair_counts": _on(
+        _english_variants, lambda v: ct.variant_pair_counts(ex.accepted(v))
+    ),
+    "english_reason_counts": _on(
+        _english_variants, lambda v: ct.reason_counts(ex.not_accepted(v))
+    ),
+    "english_nlp_labels": _on(_english_heads, _same),
+    "english_nlp_label_counts": _on(_english_heads, ct.head_label_counts),
 }
