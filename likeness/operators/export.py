@@ -30,12 +30,25 @@ def _text_or(df: DataFrame, name: str, fallback: Column) -> Column:
     return F.coalesce(F.nullif(F.col(name), F.lit("")), fallback)
 
 
+def _absent() -> dict[str, Column]:
+    """What cleanup takes for columns that the candidates do not have."""
+    texts = "vehicle_text ground_text text_before candidate_full_text reject_reason".split()
+    return {
+        **{name: F.lit("") for name in texts},
+        "vehicle_head": F.lit(None).cast("string"),
+        "needs_review": F.lit(False),
+    }
+
+
 def clean_candidates(candidates: DataFrame) -> DataFrame:
     """Append the cleanup columns to gold candidates.
 
     The vehicle is cut at the first clause word after its head, or else after
-    the head when the head is a common idiom head.  Narrow, no Python.
+    the head when the head is a common idiom head.  Columns the rules look at
+    may be missing; they are added empty.  Narrow, no Python.
     """
+    absent = {n: c for n, c in _absent().items() if n not in candidates.columns}
+    candidates = candidates.withColumns(absent) if absent else candidates
     raw = _text_or(candidates, "vehicle_text_raw", F.col("vehicle_text"))
     tokens = F.col("_tokens")
     size = F.size(tokens)

@@ -171,3 +171,11 @@ def test_merged_set(lines_of):
     names = {r[0] for r in merged.select("pattern_type").distinct().collect()}
     assert names == {"como_article_ground_vehicle", "bare_como_visual_whitelist"}
     merged.unpersist()
+
+
+def test_cleanup_of_few_columns(spark):
+    rows = spark.createDataFrame([("luva é linda",), ("",)], "vehicle_text string")
+    cleaned = xp.clean_candidates(rows).orderBy(F.desc("vehicle_text")).collect()
+    assert (cleaned[0].vehicle_text_clean, cleaned[0].quality_label) == ("luva", "trimmed")
+    assert (cleaned[1].vehicle_head_clean, cleaned[1].quality_label) == (None, "keep")
+    assert not cleaned[1].needs_review
