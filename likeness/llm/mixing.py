@@ -32,7 +32,7 @@ from likeness.llm.tables import WORD, filled, free_name, held
 
 #: Hex digits of the shuffle hash that choose the slot within a source.
 SLOT_DIGITS = 3
-#: Finish times are dealt into so many slots for each pass over a source.
+#: Slots between finish times 0 and 1.
 TIME_SLOTS = 4096
 SEED = "mix-1"
 #: Passes over a source at most.
@@ -87,7 +87,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) ->
 
 
 def _time_slot(turn: Column) -> Column:
-    return F.floor(turn["finish"] * TIME_SLOTS)
+    """The slot of a finish time.
+
+    The budget is the sum of the targets, so it runs out close to finish time 1;
+    all turns after time 2 share one slot, and the slots stay few.
+    """
+    return F.least(F.floor(turn["finish"] * TIME_SLOTS), F.lit(2 * TIME_SLOTS))
 
 
 def _starts(rows: DataFrame, keys: list[str], slot: str) -> DataFrame:

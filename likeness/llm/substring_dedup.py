@@ -23,6 +23,7 @@ result; further columns may have any name.  The ids keep their type.
 from __future__ import annotations
 
 from itertools import compress
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,11 @@ from pyspark.sql import functions as F
 from likeness.llm.hashing import text_bytes, window_hashes, word_hashes, word_spans
 
 WINDOW = 35
-#: Text bytes of a chunk.  A task holds one chunk and about ten times its size in numbers.
+#: Text bytes of a chunk at least.  A task holds one chunk and some ten times its size in numbers.
 CHUNK_BYTES = 16 << 20
+#: Text bytes of a chunk per square root of the corpus's bytes: every chunk still has
+#: a dozen hashes for every hash range, so rows stay packed (100 MB chunks at 100 TB).
+CHUNK_PER_ROOT = 10
 #: Words hashed at a time.
 BLOCK = 1 << 19
 
@@ -167,9 +171,8 @@ def remove_repeats(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     # As many chunks as keep every core busy, and more where they would grow too large.
-    parts = max(
-        -(-size // chunk_bytes), 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    largest = max(chunk_bytes, CHUNK_PER_ROOT * isqrt(size))
+    parts = max(-(-size // largest), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)))
     counted = chunked.groupBy("chunk").applyInArrow(
         _count_chunk(window, parts), "chunk long, bucket long, single binary, several binary"
