@@ -2,6 +2,30 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 34], ' ') AS said
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM docs)
+), repeated AS (
+  SELECT said FROM windows GROUP BY said HAVING count(*) > 1
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS place
+  FROM windows SEMI JOIN repeated USING (said)
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1)::BIGINT AS place FROM docs
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text
+  FROM placed ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id
+), removed AS (
+  SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
 OP3 = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -71,6 +95,7 @@ FROM texts WINDOW w AS (PARTITION BY text)
 """
 
 ORACLE: dict[str, str] = {
+    "op1_substring_dedup": OP1,
     "op3_chat_formatting": OP3,
     "op4_mixing": OP4,
     "op10_exact_dedup": OP10,
