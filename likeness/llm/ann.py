@@ -187,9 +187,12 @@ def search(
     ``is_query`` is a condition on a column ``vec_id``, which holds the id.
     """
     held_k = k + 1  # a query's own row may be among those found
-    rows = vectors.select(
-        F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<float>").alias("v")
-    ).where(valid(F.col("v")) & F.col("vec_id").isNotNull())
+    vector = F.col(vector_col)
+    if vectors.schema[vector_col].dataType.simpleString() != "array<float>":
+        vector = vector.cast("array<double>")
+    rows = vectors.select(F.col(id_col).alias("vec_id"), vector.alias("v")).where(
+        valid(F.col("v")) & F.col("vec_id").isNotNull()
+    )
     widths = rows.agg(F.min_by(F.size("v"), "vec_id").alias("n")).first()
     rows = rows.where(F.size("v") == F.lit(widths.n or 0))
     by_vector = Window.partitionBy("v").orderBy("vec_id")
