@@ -13,6 +13,7 @@ made once and timed apart.
 from __future__ import annotations
 
 import json
+import math
 import os
 import sys
 import tempfile
@@ -39,7 +40,7 @@ pattern_candidates experiment_comparison dataset_strategy accepted_review_sample
 nlp_labels merged_dataset ground_fingerprint simpson_index lexicon_join_counts
 english_the_counts
 """.split()
-BRONZE_MB = 600
+BRONZE_MB = int(os.environ.get("BENCH_BRONZE_MB", "600"))
 
 
 def seconds_of(df: DataFrame) -> float:
@@ -70,7 +71,8 @@ def copied(lines: DataFrame, times: int) -> DataFrame:
 
 def extraction(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, float]:
     """Extraction from a stored bronze table, of the corpus and of unmodified text."""
-    times = max(1, -(-BRONZE_MB // max(1, round(text_mb(document_lines(spark, sf_dir), "raw_text")))))
+    mb = text_mb(document_lines(spark, sf_dir), "raw_text")
+    times = max(1, math.ceil(BRONZE_MB / max(mb, 0.1)))
     found: dict[str, float] = {}
     for kind, source in (("corpus", corpus_lines), ("documents", document_lines)):
         path = f"{folder}/{kind}"
