@@ -14,7 +14,8 @@ CHECKED = """
 bronze_segments prefilter_bare match_offsets labelled_candidates backend_candidates
 export_ground_vehicle export_vehicle_counts manifest pattern_candidates
 experiment_comparison dataset_strategy nlp_labels merged_dataset vehicle_fingerprint
-english_the_counts
+english_the_counts lexicon_phrase_counts stage_counts_with_lexicon verb_groups
+english_backend_candidates english_pattern_candidates english_nlp_labels
 """.split()
 
 needs_data = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no driver tables")

@@ -175,7 +175,8 @@ def test_full_run_with_a_lexicon_and_chosen_patterns(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     lines = [f"Era bem humorado como o pai {i}." for i in range(3)]
-    lines += [f"Era bem-humorado como uma pedra e forte como palavra{chr(97 + i % 26)}{chr(97 + i // 26)}." for i in range(600)]
+    heads = [chr(97 + i % 26) + chr(97 + i // 26) for i in range(600)]
+    lines += [f"Era bem-humorado como uma pedra e forte como palavra{h}." for h in heads]
     _gzip(raw / "a.txt.gz", lines)
     rows = [(f, f, "quality_adjective", "own", "own") for f in ("bem humorado", "bem-humorado", "forte")]
     words = spark.createDataFrame(rows, schemas.LEXICON)
