@@ -21,51 +21,51 @@ WORDS = [
 ]
 
 SENTENCES = [
-    "Sentia-se forte como um touro.",
-    "O programa saiu leve como uma pluma no ar.",
-    "A decisão caiu como uma luva.",
-    "A decisão caiu como uma luva para todos.",
-    "O quarto estava frio como gelo.",
-    "Ele trabalha que nem um robô.",
-    "Ele ficou falso como uma moeda.",
-    "O debate ficou grande como um tema nacional.",
-    "O termo foi conhecido forte como um sinal.",
-    "Ele ficou frio como uma pedra muito antiga no fundo do rio.",
-    "Forte como um touro!",
-    "Ficou leve como uma 2 penas.",
-    "Ficou leve como uma pena 2.",
-    "Era forte como um todo.",
-    "Forte como um touro e leve como uma pluma.",
-    "Correu como um raio, voou como um avião.",
-    "Ficou forte como um",
-    "super-forte como um touro",
-    "Ficou frágil como um - vaso raro.",
-    "Ficou duro como um pneu usado.",
-    "Caiu como uma luva é linda.",
-    "  Água   FRIA como UMA Pedra  ",
-    "O quarto estava frio como gelo, mas era limpo.",
-    "O menino ficou forte como o pai.",
-    "Ficou claro como se nada tivesse acontecido.",
-    "Ficou doce como seu gesto.",
-    "Está forte como agora parecia.",
-    "Era grande como quando saiu.",
-    "Ficou leve como mais ninguém.",
-    "Ele corre feito louco quando chove.",
-    "O tecido parecia tão leve como uma pluma.",
-    "Ficou forte como sistema.",
-    "Ficou forte como Ayrton Senna.",
-    "Ficou doce como mel 5.",
-    "Ficou duro como pedra de amolar faca velha.",
-    "Ficou forte como o mesmo.",
-    "Ficou forte como o.",
-    "Ficou claro como água.",
-    "Foi brilhante como jogador de futebol.",
-    "Ficou claro como sendo comum.",
-    "Ficou usado forte como casa.",
-    "Era alto como cantor.",
-    "Era claro como casa de pedra velha.",
-    "O Porto Alegre como uma cidade conectada.",
-    "Era alto como um prédio 😀 novo.",
+    "Ele parecia forte como um cavalo.",
+    "O vestido era leve como uma pluma ao vento.",
+    "O casaco caiu como uma luva.",
+    "O conselho caiu como uma luva na equipe.",
+    "O rio corria frio como aço.",
+    "Ela canta que nem um pássaro.",
+    "O sorriso era falso como uma nota.",
+    "O assunto virou grande como um tipo comum.",
+    "O remédio era usado forte como um veneno.",
+    "Acordou frio como uma lâmina bem velha na gaveta do armário.",
+    "Leve como um sopro!",
+    "Saiu leve como uma 3 folhas.",
+    "Saiu leve como uma folha 3.",
+    "Foi forte como um todo.",
+    "Forte como um leão e leve como uma nuvem.",
+    "Correu como um rio, voou como um pardal.",
+    "Estava forte como um",
+    "quase-forte como um leão",
+    "Parecia frágil como um - copo fino.",
+    "Estava duro como um sapato usado.",
+    "Caiu como uma bomba é triste.",
+    "  Sopa   FRIA como UMA Neve  ",
+    "O vento era frio como neve, mas passou.",
+    "O filho cresceu forte como o avô.",
+    "Estava claro como se fosse cedo.",
+    "Era doce como seu olhar.",
+    "Segue forte como agora.",
+    "Era grande como quando nasceu.",
+    "Andava leve como mais ninguém.",
+    "Ela corre feito lebre quando foge.",
+    "O pão saiu tão leve como uma esponja.",
+    "Segue forte como sistema.",
+    "Segue forte como Maria Bonita.",
+    "Era doce como açúcar 7.",
+    "Ficou duro como casca de pinheiro muito velho.",
+    "Segue forte como o mesmo.",
+    "Segue forte como o.",
+    "Era claro como cristal.",
+    "Foi brilhante como advogado de defesa.",
+    "Era claro como sendo raro.",
+    "Estava usado forte como mesa.",
+    "Ele é alto como cantor.",
+    "Era claro como sala de vidro novo.",
+    "O Campo Alegre como uma praça aberta.",
+    "Era alto como um poste 😀 torto.",
 ]
 
 
