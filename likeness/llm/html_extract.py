@@ -3,7 +3,7 @@
 A page is read once into text leaves, each with its root-to-leaf tag path (tag,
 and first class or id without digits).  Leaves of elements that never hold main
 text (scripts, forms, navigation, ...) or whose class or id says so are left
-out.  For every path of the page text length and punctuation are aggregated and
+out, unless it holds the page's article or most of its paragraph text.  For every path of the page text length and punctuation are aggregated and
 taken per leaf; the two ratios are fused by their product, less the share of
 link text, and smoothed over neighbouring paths in page order.  Paths above a
 share of the best smoothed ratio are content.  The smallest element that holds
@@ -37,8 +37,8 @@ _TOKEN = re.compile(
     r"</?([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.DOTALL,
 )
-_NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _SPACES = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
@@ -75,43 +75,96 @@ OUT_NAMES = frozenset(
     pager copyright disclaimer contentinfo complementary skip outbrain taboola
     """.split()
 )
+#: Of these, the ones for what readers write, which may be longer than the article.
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
+#: First and last words of a class that say something about the page around the element.
+ABOUT_FIRST = frozenset("no not has have with without is hide hides".split())
+ABOUT_LAST = frozenset("open opened closed enabled disabled on off none price prices".split())
+#: Share of the page's paragraph text from which a name does not mark an element.
+MOST_TEXT, MOST_COMMENTS = 0.5, 0.9
 #: Share of the best smoothed ratio from which a path is content; share of the
 #: content's text that its element holds.
 LEAST_RATIO, LEAST_HELD = 0.15, 0.85
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 
 class _Element:
-    __slots__ = ("tag", "name", "out", "link")
+    __slots__ = ("tag", "name", "out", "link", "parent", "marks", "in_p", "said", "articles")
 
-    def __init__(self, tag: str, name: str, out: bool, link: bool):
-        self.tag, self.name, self.out, self.link = tag, name, out, link
+    def __init__(self, tag: str, name: str, out: bool, parent: _Element | None, marks: set[str]):
+        self.tag, self.name, self.out, self.parent, self.marks = tag, name, out, parent, marks
+        self.link = tag == "a" or (parent is not None and parent.link)
+        self.in_p = tag == "p" or (parent is not None and parent.in_p)
+        self.said = self.articles = 0  # characters in paragraphs, article and main elements
+
+
+def _marks(names: str) -> set[str]:
+    """The words of classes, ids or a role that mark what is not main text."""
+    found: set[str] = set()
+    for name in names.split():
+        words = [w.lower() for w in _WORDS_IN_NAME.findall(name)]
+        if words and (len(words) == 1 or not (words[0] in ABOUT_FIRST or words[-1] in ABOUT_LAST)):
+            found.update(OUT_NAMES.intersection(words))
+    return found
 
 
 def _element(tag: str, attributes: str, parent: _Element | None, in_main: bool) -> _Element:
-    names = [next(filter(None, m), "") for m in _NAME.findall(attributes)] if attributes else []
-    words = {w.lower() for n in names for w in _WORDS_IN_NAME.findall(n)}
-    out = (
-        tag in OUT
-        or (tag == "header" and not in_main)
-        or (tag not in ("html", "body", "article", "main") and not words.isdisjoint(OUT_NAMES))
-        or bool(attributes and _HIDDEN.search(attributes))
-    )
-    if parent is not None:
-        out = out or parent.out
+    names, marks, hidden = [], set(), False
+    for key, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
+        key, value = key.lower(), next(filter(None, values), "")
+        if key in ("class", "id", "role"):
+            names.append(value)
+            marks |= _marks(value)
+        elif key == "hidden":
+            hidden = hidden or value.lower() != "false"
+        elif key == "aria-hidden":
+            hidden = hidden or value.strip().lower() == "true"
+        elif key == "style":
+            hidden = hidden or bool(_NOT_SHOWN.search(value))
+    out = tag in OUT or (tag == "header" and not in_main) or hidden or bool(parent and parent.out)
+    if tag in ("html", "body", "article", "main"):
+        marks = set()
     name = f"{tag}.{_DIGITS.sub('', names[0])}" if names else tag
-    return _Element(tag, name, out, tag == "a" or (parent is not None and parent.link))
+    return _Element(tag, name, out, parent, marks)
+
 
+def _drop_marked(elements: list[_Element]) -> None:
+    """Leave out what a class, id or role marks, but no element that holds the page's text.
 
-def leaves(page: str) -> list[tuple[tuple[str, ...], int, bool, str]]:
-    """``(path, block, in a link, text)`` of every text leaf that may be main text."""
-    found = []
+    That is one with most of the paragraph text, or with an article or main
+    element, where no article or main element stands outside of it.
+    """
+    said = articles = 0
+    for e in reversed(elements):
+        e.articles += e.tag in ("article", "main") and not e.out
+        if e.parent is not None:
+            e.parent.said += e.said
+            e.parent.articles += e.articles
+        else:
+            said += e.said
+            articles += e.articles
+    for e in elements:
+        if e.parent is not None and e.parent.out:
+            e.out = True
+        elif e.marks and not e.out:
+            most = MOST_TEXT if e.marks.isdisjoint(COMMENTS) else MOST_COMMENTS
+            holds = e.articles > 0 and e.marks.isdisjoint(COMMENTS) or e.said > most * said
+            e.out = not (holds and e.articles == articles)
+
+
+def leaves(page: str) -> list[tuple[tuple[str, ...], int, bool, str, _Element | None]]:
+    """``(path, block, in a link, text, element)`` of every text leaf that may be main text."""
+    seen: list[tuple[_Element | None, int, str]] = []
+    elements: list[_Element] = []
     stack: list[_Element] = []
     block, at, size = 0, 0, len(page)
 
     def text(a: int, b: int) -> None:
         if a < b and not (stack and stack[-1].out):
-            path = tuple(e.name for e in stack)
-            found.append((path, block, bool(stack) and stack[-1].link, html.unescape(page[a:b])))
+            said = html.unescape(page[a:b])
+            if stack and stack[-1].in_p:
+                stack[-1].said += len(said.strip())
+            seen.append((stack[-1] if stack else None, block, said))
 
     while at < size:
         token = _TOKEN.search(page, at)
@@ -147,13 +200,30 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], int, bool, str]]:
             continue
         in_main = any(e.tag in ("article", "main") for e in stack)
         stack.append(_element(tag, attributes, stack[-1] if stack else None, in_main))
+        elements.append(stack[-1])
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             stack.pop()
             at = end.end() if end else size
+    _drop_marked(elements)
+    found, paths = [], {}
+    for element, number, said in seen:
+        if element is None or not element.out:
+            if element not in paths:
+                paths[element] = tuple(e.name for e in reversed(_chain(element)))
+            found.append((paths[element], number, element is not None and element.link, said, element))
     return found
 
 
+def _chain(element: _Element | None) -> list[_Element]:
+    """An element and those around it, from the inside."""
+    made = []
+    while element is not None:
+        made.append(element)
+        element = element.parent
+    return made
+
+
 def _smoothed(ratios: list[float]) -> list[float]:
     """Each ratio with its neighbours in page order, weighed 1, 2, 1."""
     last = len(ratios) - 1
@@ -163,10 +233,10 @@ def _smoothed(ratios: list[float]) -> list[float]:
     ]
 
 
-def content_element(found: list[tuple[tuple[str, ...], int, bool, str]]) -> tuple[str, ...]:
+def content_element(found: list[tuple]) -> tuple[str, ...]:
     """The path of the smallest element that holds nearly all content paths' text."""
     paths: dict[tuple[str, ...], list[int]] = {}  # leaves, characters, punctuation, in links
-    for path, _, link, text in found:
+    for path, _, link, text, _ in found:
         chars = len(text) - text.count(" ")
         if not text.isspace() and chars:
             row = paths.setdefault(path, [0, 0, 0, 0])
@@ -205,7 +275,7 @@ def main_text(page: str | None) -> str:
     depth = len(element)
     blocks: dict[int, list[str]] = {}
     linked: dict[int, list[int]] = {}
-    for path, block, link, text in found:
+    for path, block, link, text, _ in found:
         if path[:depth] == element:
             blocks.setdefault(block, []).append(text)
             counts = linked.setdefault(block, [0, 0])
