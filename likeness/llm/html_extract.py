@@ -6,9 +6,11 @@ text (scripts, forms, navigation, ...) or whose class or id says so are left
 out, unless it holds the page's article or most of its paragraph text.  For every path of the page text length and punctuation are aggregated and
 taken per leaf; the two ratios are fused by their product, less the share of
 link text, and smoothed over neighbouring paths in page order.  Paths above a
-share of the best smoothed ratio are content.  The smallest element that holds
-nearly all their text is the content element, and its leaves are the main text,
-so headings and short paragraphs between content stay; link lists in it do not.
+share of the best smoothed ratio are content.  The main text is every leaf of a path
+that is content by its own ratio, all of the articles (or main elements) that hold
+such leaves, what lies between the first and the last of them in their innermost
+common element with the headings before, and the smallest element that holds nearly
+all the content's text.  Link lists go only from what that last one adds.
 
 Text of one block is joined as it stands, white space becomes one space, and the
 blocks are joined by one space in page order.  Character references are decoded
@@ -233,8 +235,8 @@ def _smoothed(ratios: list[float]) -> list[float]:
     ]
 
 
-def content_element(found: list[tuple]) -> tuple[str, ...]:
-    """The path of the smallest element that holds nearly all content paths' text."""
+def content_paths(found: list[tuple]) -> tuple[dict[tuple[str, ...], int], set[tuple[str, ...]]]:
+    """Characters of the content paths, and those that are so without their neighbours."""
     paths: dict[tuple[str, ...], list[int]] = {}  # leaves, characters, punctuation, in links
     for path, _, link, text, _ in found:
         chars = len(text) - text.count(" ")
@@ -245,13 +247,19 @@ def content_element(found: list[tuple]) -> tuple[str, ...]:
             row[2] += len(_PUNCTUATION.findall(text))
             row[3] += chars if link else 0
     if not paths:
-        return ()
+        return {}, set()
     fused = [
         chars / n * (1 + marks / n) * (1 - links / chars) for n, chars, marks, links in paths.values()
     ]
     smooth = _smoothed(fused)
     least = LEAST_RATIO * max(smooth)
     content = {p: paths[p][1] for p, s in zip(paths, smooth, strict=True) if s >= least}
+    own = {p for p, f in zip(paths, fused, strict=True) if p in content and f >= least}
+    return content, own
+
+
+def content_element(content: dict[tuple[str, ...], int]) -> tuple[str, ...]:
+    """The path of the smallest element that holds nearly all content paths' text."""
     total = sum(content.values())
     element: tuple[str, ...] = ()
     while True:
@@ -268,22 +276,83 @@ def content_element(found: list[tuple]) -> tuple[str, ...]:
         element = (*element, best)
 
 
+def _article(element: _Element | None) -> _Element | None:
+    """The outermost article around an element, or else the outermost main element."""
+    around = _chain(element)
+    return next(
+        (e for tag in ("article", "main") for e in reversed(around) if e.tag == tag), None
+    )
+
+
+def _common(elements: list[_Element | None]) -> _Element | None:
+    """The innermost element around all of them; None is the page."""
+    shared = _chain(elements[0])[::-1]
+    for element in dict.fromkeys(elements):
+        other = _chain(element)[::-1]
+        same = 0
+        while same < min(len(shared), len(other)) and shared[same] is other[same]:
+            same += 1
+        del shared[same:]
+    return shared[-1] if shared else None
+
+
+def _text_parts(found: list[tuple], own: set[tuple[str, ...]]) -> list[bool]:
+    """Which leaves are in the article, or between leaves of content paths."""
+    chosen = [i for i, f in enumerate(found) if f[0] in own and not f[3].isspace()]
+    kept = [False] * len(found)
+    if not chosen:
+        return kept
+    articles = {_article(found[i][4]) for i in chosen} - {None}
+    inside: dict[_Element | None, bool] = {}
+
+    def within(element: _Element | None, of: set[_Element | None]) -> bool:
+        if element not in inside:
+            inside[element] = None in of or any(e in of for e in _chain(element))
+        return inside[element]
+
+    if articles:
+        for i, f in enumerate(found):
+            kept[i] = within(f[4], articles)
+        for i in chosen:
+            kept[i] = True
+        inside.clear()
+        # What lies between is text in an element of its own, not all over the page.
+        roots = {e for e in (_common([found[i][4] for i in chosen]),) if e and e.tag in ("article", "main")}
+        if not roots:
+            return kept
+    else:
+        roots = {_common([found[i][4] for i in chosen])}
+    first, last = chosen[0], chosen[-1]
+    headings = {e: any(x.tag in HEADINGS for x in _chain(e)) for e in {f[4] for f in found}}
+    while first and (headings[found[first - 1][4]] or found[first - 1][3].isspace()):
+        first -= 1
+    for i in range(first, last + 1):
+        kept[i] = kept[i] or within(found[i][4], roots)
+    return kept
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page."""
     found = leaves(page or "")
-    element = content_element(found)
+    content, own = content_paths(found)
+    element = content_element(content)
     depth = len(element)
+    sure = _text_parts(found, own)
     blocks: dict[int, list[str]] = {}
     linked: dict[int, list[int]] = {}
-    for path, block, link, text, _ in found:
-        if path[:depth] == element:
+    in_text: set[int] = set()
+    for (path, block, link, text, _), part in zip(found, sure, strict=True):
+        if part or path[:depth] == element:
             blocks.setdefault(block, []).append(text)
             counts = linked.setdefault(block, [0, 0])
             counts[link] += len(text.strip())
+            if part:
+                in_text.add(block)
     made = []
     for block, parts in blocks.items():
         joined = _SPACES.sub(" ", "".join(parts)).strip()
-        if joined and not linked[block][1] > 2 * linked[block][0]:
+        # Link lists go where they are outside of the text.
+        if joined and (block in in_text or not linked[block][1] > 2 * linked[block][0]):
             made.append(joined)
     return " ".join(made)
 
