@@ -7,7 +7,8 @@ A surrogate is drawn from a keyed hash of the entity's type and normal form, so
 one entity has one surrogate in all texts (coreference).  It keeps type and
 format: letters stay letters of the same script and case, digits stay digits,
 separators stay; a card number keeps its length and whether its check digit is
-right; an address stays private or public; a name keeps script and gender, and
+right; an address stays private or public; a name keeps its script, of whatever letters, and in Latin and Cyrillic its gender
+(names of other scripts are drawn letter for letter), and
 given and family names are entities of their own, so "Ms Ann Lee" and "Ms Lee"
 still agree.
 
@@ -30,7 +31,9 @@ from __future__ import annotations
 import hmac
 import ipaddress
 import re
+import unicodedata
 from collections.abc import Callable
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -51,7 +54,10 @@ _GENDER = {
     for t in titles.split()
 }
 _TITLE = "|".join(sorted(map(re.escape, f"{_TITLES_M} {_TITLES_F} {_TITLES_N}".split()), key=len, reverse=True))
-_NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁ](?:[a-zß-öø-ÿа-яё]+|[A-ZÀ-ÖØ-ÞА-ЯЁ]+)(?:[-'’][A-ZÀ-ÖØ-ÞА-ЯЁ][\w]+)?"
+#: Combining marks, which \w does not know; a letter of any script, with the marks after it.
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.category(c)[0] == "M")
+_LETTERS = rf"(?:[^\W\d_][{_MARKS}]*+)++(?!\w)"
+_NAME = rf"{_LETTERS}(?:[-'’]{_LETTERS})*"
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}\b")
 #: Where a number with separators may stand, and what it can be.
 _NUMERIC = re.compile(r"(?<![\w.])[+(]?\d[\d ().-]{5,}\d(?!\w)")
@@ -69,7 +75,9 @@ _SECRET = re.compile(
 _SECRET_NAME = re.compile(
     r"(?i:token|secret|password|passwd|pwd|key|bearer|auth|authorization|credential)s?[\"']?\s*\Z"
 )
-_NAMED = re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.?[ ](?P<name>{_NAME}(?:[ ]{_NAME}){{0,2}})(?!\w)")
+#: The name is looked ahead at, so that a title among its words is found as well.
+_NAMED = re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.?[ ](?=(?P<name>{_NAME}(?:[ ]{_NAME}){{0,2}}))")
+_JOINT = re.compile("([-'’])")
 _TITLE_WORDS = frozenset(f"{t}{dot}" for t in _GENDER for dot in ("", "."))
 
 #: Given names by script and gender, and syllables of family names by script.
@@ -87,8 +95,63 @@ _SYLLABLES = {
 }
 
 
+def _script_of(letter: str) -> str:
+    return unicodedata.name(letter, "?").partition(" ")[0].lower()
+
+
 def _script(text: str) -> str:
-    return "cyrillic" if re.search("[А-яЁё]", text) else "latin"
+    """The script of a name: Cyrillic if any letter is, or else that of its first letter."""
+    scripts = [_script_of(c) for c in text if c.isalpha()]
+    return "cyrillic" if "cyrillic" in scripts else (scripts or ["latin"])[0]
+
+
+@cache
+def _letters(script: str, kind: str, block: int) -> list[str]:
+    """The plain letters of a script that may stand for one of that category in that block."""
+    around = range(0x4E00, 0x9FA6) if script == "cjk" else range(block << 7, (block + 1) << 7)
+    if script == "hangul":
+        around = range(0xAC00, 0xD7A4)
+    return [
+        c
+        for c in map(chr, around)
+        if unicodedata.category(c) == kind and _script_of(c) == script
+        and c.casefold() == c and (script == "hangul" or not unicodedata.decomposition(c))
+    ]
+
+
+def _letter_like(c: str, draw: _Draw) -> str:
+    pool = _letters(_script_of(c), unicodedata.category(c), ord(c) >> 7) if c.isalpha() else []
+    return pool[draw.below(len(pool))] if len(pool) > 1 else c
+
+
+def _names(words: list[str]) -> list[str]:
+    """The words, from the first on, that are written like names.
+
+    In scripts with case these begin with a capital and have two letters; in
+    scripts without, the first two words are taken, and of a run of more than four
+    Chinese or Japanese characters, which has no spaces, the first three.
+    """
+    made: list[str] = []
+    for word in words:
+        first = word[0]
+        if first.islower():
+            break
+        kept = _JOINT.split(word)
+        if first.isupper() or first.istitle():
+            while len(kept) > 1 and kept[-1][0].islower():
+                del kept[-2:]
+            name = "".join(kept)
+            if sum(map(str.isalpha, name)) < 2:
+                break
+        elif len(made) == 2:
+            break
+        else:
+            long = len(word) > 4 and _script_of(first) in ("cjk", "hiragana", "katakana")
+            name = word[:3] if long else word
+        made.append(name)
+        if name != word:
+            break
+    return made
 
 
 def _matches(text: str) -> list[tuple[int, int, str, str]]:
@@ -110,7 +173,7 @@ def _matches(text: str) -> list[tuple[int, int, str, str]]:
     if not _TITLE_WORDS.isdisjoint(text.lower().split()):
         for m in _NAMED.finditer(text):
             gender = _GENDER[m["title"].lower()]
-            at, parts = m.start("name"), m["name"].split(" ")
+            at, parts = m.start("name"), _names(m["name"].split(" "))
             for i, part in enumerate(parts):
                 role = "family" if i == len(parts) - 1 else f"given_{gender}"
                 found.append((at, at + len(part), role, part))
@@ -134,7 +197,9 @@ def normal(kind: str, value: str) -> str:
         return re.sub(r"[^\d+]", "", value)
     if kind == "iban":
         return value.replace(" ", "")
-    if kind in ("email",) or kind == "family" or kind.startswith("given"):
+    if kind == "family" or kind.startswith("given"):
+        return unicodedata.normalize("NFC", unicodedata.normalize("NFC", value).casefold())
+    if kind == "email":
         return value.casefold()
     return value
 
@@ -211,6 +276,10 @@ def surrogate(kind: str, value: str, key: str, attempt: int) -> str:
     if kind == "secret" and re.fullmatch(r"[0-9a-fA-F]+", value):
         digits = "0123456789ABCDEF" if value.upper() == value else "0123456789abcdef"
         return "".join(digits[draw.below(16)] for _ in value)
+    if (kind == "family" or kind.startswith("given")) and _script(value) not in _SYLLABLES:
+        # Letter for letter; later draws are longer, so that short names do not run out.
+        more = [c for c in value if c.isalpha()][-1:] * (attempt // 4)
+        return "".join(_letter_like(c, draw) for c in [*value, *more])
     if kind.startswith("given"):
         names = _GIVEN[_script(value), kind[-1]]
         made = names[draw.below(len(names))]
