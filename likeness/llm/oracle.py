@@ -94,9 +94,57 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM texts WINDOW w AS (PARTITION BY text)
 """
 
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), grams AS (
+  SELECT lang, 1 AS k, w[i] AS phrase FROM placed
+  UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM placed WHERE i + 1 <= len(w)
+  UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM placed WHERE i + 2 <= len(w)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase
+), totals AS (
+  SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+), cand AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 10
+), cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(ws[1:cut], ' ') AS lp, array_to_string(ws[cut + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, fl.f AS l, fr.f AS r,
+    (1000000::HUGEINT * c.a * c.a) // (fl.f::HUGEINT * fr.f) AS score
+  FROM cuts c JOIN f fl ON fl.lang = c.lang AND fl.phrase = c.lp
+  JOIN f fr ON fr.lang = c.lang AND fr.phrase = c.rp
+), best AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS pick FROM scored
+  ) WHERE pick = 1
+), inside AS (
+  SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, a AS outer_a FROM cand WHERE k = 3
+  UNION ALL SELECT lang, array_to_string(ws[2:3], ' '), a FROM cand WHERE k = 3
+), kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND 100 * i.outer_a >= 50 * b.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase ASC) AS rank
+  FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+  n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op3_chat_formatting": OP3,
     "op4_mixing": OP4,
     "op10_exact_dedup": OP10,
+    "op13_collocations": OP13,
 }

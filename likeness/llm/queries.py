@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from likeness.llm import (
     ann,
     chat_format,
+    collocations,
     exact_dedup,
     html_extract,
     mixing,
     pieces,
     pii,
     simhash,
+    spelling,
     substring_dedup,
+    token_counts,
     toxicity,
 )
 from likeness.llm.tables import table
@@ -24,6 +27,9 @@ from likeness.llm.tables import table
 #: Where the public tokenizer's model lies on every machine.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
+#: The tokenizer whose counts op11 gives, by its name among the public tokenizers.
+TOKENIZER_FILE = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The conversation added to the table: both turns hold marks of instruction templates.
@@ -125,6 +131,26 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the byte-level BPE, through the shared digest cache."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER_FILE))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with its form and root among the words one edit away."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group_variants(docs)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first collocations of every language."""
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.mine(docs)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -136,4 +162,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_html_extraction": op9_html_extraction,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_token_counts": op11_token_counts,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_collocations": op13_collocations,
 }
