@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from likeness.llm.tables import bound, filled
+from likeness.llm.tables import bound, filled, held
 
 #: Fixed values of the contract: piece ends, word separators, orders, thresholds.
 PIECE_END = r"[.,;:!?\x0A-\x0D]"
@@ -122,7 +122,10 @@ def _lookup(rows: DataFrame, key: str, out: str, table: DataFrame, heavy: DataFr
 
 def mine(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's best collocations."""
-    counted = counts(windows(docs, text, lang))
+    # Counted once and held: only totals and phrases that can take part are kept.
+    counted = held(
+        counts(windows(docs, text, lang)).filter(f"order = 0 OR f >= {MIN_COUNT}")
+    )
     totals = counted.filter("order = 0").select("lang", F.col("f").alias("n"))
     grams = counted.filter(f"order > 0 AND f >= {MIN_COUNT}")
     everything = totals.agg(F.sum("n").alias("all_words"))
