@@ -179,8 +179,8 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP
     )
     # Only phrases one word shorter than ORDER are checked here; with ORDER 3 that
     # covers every pair: a 2-word phrase lies only in 3-word ones.
-    held = inner.groupBy("lang", "phrase").agg(F.max("outer_a").alias("outer_a"))
-    survivors = lowest.join(held, ["lang", "phrase"], "left").filter(
+    containing = inner.groupBy("lang", "phrase").agg(F.max("outer_a").alias("outer_a"))
+    survivors = lowest.join(containing, ["lang", "phrase"], "left").filter(
         F.col("outer_a").isNull()
         | (F.lit(100) * F.col("outer_a") < F.lit(CONTAINED_PERCENT) * F.col("a"))
     )
