@@ -192,16 +192,88 @@ def _hits(text: Column, spec: PatternSpec, reach: Reach | None) -> Column:
     ).otherwise(F.array().cast(HIT_TYPE))
 
 
-def _tagged_hits(text: Column, same: list[PatternSpec], reach: Reach | None) -> Column:
+@dataclass(frozen=True)
+class LastWords:
+    """Bloom filter of the last words of a lexicon's forms, as a bit string.
+
+    ``bits`` is a power of two, so the filter's size is bounded by that
+    argument whatever the lexicon's size; false positives only cost rows that
+    the exact join drops.
+    """
+
+    bits: int
+    filled: bytes
+
+
+#: Hashes per word, and the least and most bits of a filter.
+BLOOM_HASHES = 3
+BLOOM_MIN_BITS = 1 << 10
+BLOOM_MAX_BITS = 1 << 23
+#: Bits per distinct last word (about 0.3 % false positives at three hashes).
+BLOOM_BITS_PER_WORD = 16
+
+
+def _last_word(text: Column) -> Column:
+    return F.regexp_extract(F.lower(text), rf"{tx.WORD}+$", 0)
+
+
+def _bloom_bits(word: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(seed), word), F.lit(bits)) for seed in range(BLOOM_HASHES)]
+
+
+def last_words(lexicon: DataFrame) -> LastWords:
+    """The Bloom filter of a lexicon's last words, from two aggregates over it.
+
+    The second aggregate gives one row per 32 bits with one set, so what
+    reaches the driver is at most ``BLOOM_MAX_BITS / 32`` rows.
+    """
+    last = _last_word(F.col("form"))
+    distinct = lexicon.agg(F.approx_count_distinct(last).alias("n")).first().n or 0
+    bits = BLOOM_MIN_BITS
+    while bits < BLOOM_BITS_PER_WORD * distinct and bits < BLOOM_MAX_BITS:
+        bits *= 2
+    words = (
+        lexicon.select(F.explode(F.array(*_bloom_bits(last, bits))).alias("bit"))
+        .groupBy((F.col("bit") / 32).cast("long").alias("slot"))
+        .agg(F.bit_or(F.pow(F.lit(2), F.col("bit") % 32).cast("long")).alias("set"))
+        .collect()
+    )
+    filled = bytearray(bits // 8)
+    for row in words:
+        for b in range(32):
+            if (row.set >> b) & 1:
+                at = row.slot * 32 + b
+                filled[at // 8] |= 1 << (at % 8)
+    return LastWords(bits, bytes(filled))
+
+
+def might_hold(bloom: LastWords, text: Column) -> Column:
+    """False where the last word of ``text`` is the last word of no form."""
+    table = F.lit(bloom.filled)
+    found = F.lit(True)
+    for bit in _bloom_bits(_last_word(text), bloom.bits):
+        byte = F.conv(F.hex(table.substr((bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        mask = F.pow(F.lit(2), bit % 8).cast("int")
+        found = found & (byte.bitwiseAND(mask) != 0)
+    return found
+
+
+def _tagged_hits(
+    text: Column, same: list[PatternSpec], reach: Reach | None, bloom: LastWords | None = None
+) -> Column:
     """Hits of patterns that share a connector, one element per pattern.
 
     With the built-in lexicon (no ``reach``), grounds are tested before rows are
-    made; ``nth`` then counts the curated matches of the segment.
+    made; ``nth`` then counts the curated matches of the segment.  With a
+    lexicon table, ``bloom`` drops hits whose ground ends in a word that ends no
+    form, still inside the array; all grounds of a hit end in the same word.
     """
     hits = _hits(text, same[0], reach)
     if reach is None:
         forms = lx.ground_forms(same[0].ground_types)
         hits = F.filter(hits, lambda hit: tx.one_of(F.lower(hit["ground_text"]), forms))
+    elif bloom is not None:
+        hits = F.filter(hits, lambda hit: might_hold(bloom, hit["ground_text"]))
     names = F.array(*[F.lit(spec.pattern_type) for spec in same])
     return F.flatten(
         F.transform(
@@ -215,7 +287,10 @@ def _tagged_hits(text: Column, same: list[PatternSpec], reach: Reach | None) ->
 
 
 def find_hits(
-    segments: DataFrame, specs: list[PatternSpec], reach: Reach | None = None
+    segments: DataFrame,
+    specs: list[PatternSpec],
+    reach: Reach | None = None,
+    bloom: LastWords | None = None,
 ) -> DataFrame:
     """All connector matches of one or more patterns, one row each, from one scan.
 
@@ -229,7 +304,7 @@ def find_hits(
     for spec in specs:
         shared.setdefault((spec.connector, spec.tail, spec.ground_types), []).append(spec)
     text = F.col("text_normalized")
-    arrays = [_tagged_hits(text, same, reach) for same in shared.values()]
+    arrays = [_tagged_hits(text, same, reach, bloom) for same in shared.values()]
     # inline_outer: the inner form would evaluate the array a second time in
     # an inferred size filter.
     return (
@@ -283,8 +358,31 @@ def with_lexicon(
 
 
 def find_matches(
-    segments: DataFrame, specs: list[PatternSpec], lexicon: DataFrame | None = None
+    segments: DataFrame,
+    specs: list[PatternSpec],
+    lexicon: DataFrame | None = None,
+    filtered: bool = True,
 ) -> DataFrame:
-    """Hits of the patterns whose ground is in the lexicon."""
-    reach = None if lexicon is None else reach_of(lexicon)
-    return with_lexicon(find_hits(segments, specs, reach), specs, lexicon)
+    """Hits of the patterns whose ground is in the lexicon.
+
+    With a lexicon table and ``filtered``, its Bloom filter of last words drops
+    hits before they become rows; the result is the same without it.
+    """
+    if lexicon is None:
+        return with_lexicon(find_hits(segments, specs), specs)
+    bloom = last_words(lexicon) if filtered else None
+    return with_lexicon(find_hits(segments, specs, reach_of(lexicon), bloom), specs, lexicon)
+
+
+def prefilter_with_lexicon(
+    segments: DataFrame, specs: list[PatternSpec], lexicon: DataFrame
+) -> DataFrame:
+    """Segments that hold a match of the patterns with a lexicon table, and how many.
+
+    The prefilter of a lexicon of any size: literals and connector regex first,
+    then the Bloom filter of last words inside the hit array, then the exact
+    join.  ``source_file, original_line_id, segment_id, n_matches``.
+    """
+    keys = ["source_file", "original_line_id", "segment_id"]
+    found = find_matches(segments, specs, lexicon)
+    return found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_matches"))

@@ -895,6 +895,15 @@ matches AS (
     PARTITION BY source_file, original_line_id, segment_id, connector_start
     ORDER BY length(candidate) DESC) = 1)
 {_counts("matches", "ground_source", "ground_lemma")}"""
+_PHRASE_MATCHES = ORACLE["lexicon_phrase_counts"].split("matches AS (")[0]
+ORACLE["prefilter_with_lexicon"] = _PHRASE_MATCHES + """matches AS (
+  SELECT source_file, original_line_id, segment_id
+  FROM candidates JOIN lexicon ON lower(candidate) = form
+  QUALIFY row_number() OVER (
+    PARTITION BY source_file, original_line_id, segment_id, connector_start
+    ORDER BY length(candidate) DESC) = 1)
+SELECT source_file, original_line_id, segment_id, count(*) AS n_matches
+FROM matches GROUP BY source_file, original_line_id, segment_id"""
 ORACLE["quality_words"] = """
 SELECT lower(trim(value)) AS form, lower(trim(value)) AS lemma, 'quality_adjective' AS ground_type,
   'quality_reference' AS ground_source, source AS ground_reference_path

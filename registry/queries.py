@@ -282,6 +282,9 @@ QUERIES: dict[str, Query] = {
         _english(corpus.conversation_lines(s, d), s, d)
     ),
     "lexicon_phrase_counts": _phrase_counts,
+    "prefilter_with_lexicon": lambda s, d: pt.prefilter_with_lexicon(
+        _english_segments(s, d), [ENGLISH], corpus.benchmark_phrases(s, d)
+    ),
     "stage_counts_with_lexicon": _english_stages,
     # lexicon files parsed from tables
     "quality_words": _on(corpus.word_lines, lexicon_files.quality_words),
