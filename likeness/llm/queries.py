@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,12 +132,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every document by the byte-level BPE, through the shared digest cache."""
+def op11_token_counts(spark: SparkSession, sf_dir: str, cache: str | None = None) -> DataFrame:
+    """Tokens of every document by the byte-level BPE, through a digest cache.
+
+    The query starts from a cache of its own in the shared folder, so that each
+    run encodes every distinct text (the cold path, the most work); pass
+    ``cache`` (e.g. :func:`token_counts.cache_folder`) to reuse counts across runs.
+    """
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER_FILE))
+    cache = cache or f"{token_counts.cache_folder(spark)}-{uuid.uuid4().hex}"
+    return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER_FILE), cache)
 
 
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
