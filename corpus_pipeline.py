@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from likeness.llm import exact_dedup, mixing, near_copies, pieces, toxicity
+from likeness.llm import exact_dedup, mixing, pieces, simhash, toxicity
 from likeness.llm.queries import MODEL_FILE
 from likeness.llm.tables import table
 from likeness.session import staged
@@ -33,11 +33,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, the one with the smallest id.
+    """One document of each SimHash class, the one with the smallest id.
 
-    Five-word shingles and a Jaccard of 0.8; op5's query has three words and three bits.
+    The SimHash operator with the parameters of its contract: three-word
+    shingles, fingerprints linked at three differing bits or fewer, no other
+    similarity test.
     """
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
