@@ -24,24 +24,51 @@ def read_lines(
     """
     if line_ids not in ("per_file", "scan_order"):
         raise ValueError(f"Unknown line_ids: {line_ids}")
-    scanned = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("scan_id"),
-        F.col("value").alias("raw_text"),
-    )
-    file = F.col("file_path")
-    if name_only:
-        file = F.substring_index(file, "/", -1)
+    scanned = _scan(spark, path)
+    file = _file(name_only)
     if line_ids == "scan_order":
         return scanned.select(
             file.alias("source_file"), F.col("scan_id").alias("original_line_id"), "raw_text"
         )
     # A block is a contiguous range of one file read by one task, so ids are
     # consecutive in it.
-    numbered = _with_blocks(scanned, _first_lines(scanned))
-    return numbered.select(
-        file.alias("source_file"),
+    return _numbered(_with_blocks(scanned, _first_lines(scanned)), name_only)
+
+
+def read_lines_once(
+    spark: SparkSession, path: str | list[str], folder: str, name_only: bool = False
+) -> DataFrame:
+    """Lines numbered per file, like ``read_lines``, from one read of the text.
+
+    The scan is written to ``folder`` (Parquet, in a folder every executor
+    reaches) with its scan id and block.  The block offsets come from the
+    written id columns alone, so that pass reads no text; the lines are
+    numbered when the written table is read back.  Compressed text is thus
+    decompressed once instead of twice.
+    """
+    _scan(spark, path).write.mode("overwrite").parquet(folder)
+    stored = spark.read.parquet(folder)
+    blocks = _first_lines(stored.select("file_path", "block_start", "scan_id"))
+    return _numbered(_with_blocks(stored, blocks), name_only)
+
+
+def _scan(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("scan_id"),
+        F.col("value").alias("raw_text"),
+    )
+
+
+def _file(name_only: bool):
+    file = F.col("file_path")
+    return F.substring_index(file, "/", -1) if name_only else file
+
+
+def _numbered(lines: DataFrame, name_only: bool) -> DataFrame:
+    return lines.select(
+        _file(name_only).alias("source_file"),
         (F.col("scan_id") - F.col("first_scan_id") + F.col("lines_before")).alias(
             "original_line_id"
         ),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from likeness import schemas
 from likeness.operators.segments import bronze_segments
-from likeness.sources.raw_text import read_lines, spread_lines
+from likeness.session import shared_folder
+from likeness.sources.raw_text import read_lines, read_lines_once, spread_lines
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -42,8 +45,14 @@ def build_bronze(
 
     ``spread`` deals the lines out over the cluster first; it is worth its
     shuffle for a few large compressed files, each of which one task reads.
+    Lines numbered per file are read once, through a staged copy in the shared
+    folder (see ``read_lines_once``).
     """
-    lines = read_lines(spark, input_path, line_ids)
+    if line_ids == "per_file":
+        staging = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+        lines = read_lines_once(spark, input_path, staging)
+    else:
+        lines = read_lines(spark, input_path, line_ids)
     return bronze_segments(spread_lines(lines) if spread else lines)
 
 
