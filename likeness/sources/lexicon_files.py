@@ -34,9 +34,22 @@ def read_quality_words(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_verb_groups(spark: SparkSession, path: str) -> DataFrame:
-    """Groups of forms in a text file, which is read as one value: a word list, not a corpus."""
-    files = spark.read.text(path, wholetext=True)
-    return verb_groups(files.select("value", F.col("_metadata.file_path").alias("path")))
+    """Groups of forms in text files, read as records that end at an empty line.
+
+    The records are split like any text, so a large file is read by many
+    tasks.  A record's place in its file is its block's start and its scan id
+    within the block; blank lines that hold spaces or carriage returns split
+    groups inside a record.
+    """
+    records = spark.read.text(path, lineSep="\n\n").select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("scan"),
+        ).alias("record"),
+    )
+    return _groups(records)
 
 
 def verb_groups(files: DataFrame) -> DataFrame:
@@ -45,10 +58,17 @@ def verb_groups(files: DataFrame) -> DataFrame:
     Groups are separated by blank lines; the first form of a group is the lemma.
     A form listed under several verbs keeps the one listed first.
     """
-    groups = files.select(
+    first = F.struct(F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("scan"))
+    return _groups(files.select("value", "path", first.alias("record")))
+
+
+def _groups(records: DataFrame) -> DataFrame:
+    """Lexicon rows of records (``value, path, record``), ``record`` ordering them in a file."""
+    groups = records.select(
         F.col("path").alias("ground_reference_path"),
-        F.posexplode(F.split(F.trim("value"), _BLANK_LINES)).alias("group_id", "block"),
-    )
+        "record",
+        F.posexplode(F.split(F.trim("value"), _BLANK_LINES)).alias("at", "block"),
+    ).withColumn("group_id", F.struct("record", "at"))
     words = F.filter(
         F.transform(F.split("block", _LINE_BREAK), lambda w: F.lower(F.trim(w))),
         lambda w: w != "",
