@@ -1,6 +1,7 @@
 """Output folders written by Spark.
 
-Every output is a folder of part files.  Nothing is forced into one part:
+Every output is a folder of part files.  Nothing is forced into one part
+unless the caller asks for it (``single_part``, for limited or aggregated tables):
 ordered count tables are range-partitioned and AQE merges the parts of a small
 table, limited samples come out as one part anyway.  Candidate tables hold rare
 matches from every split of the corpus; they are rebalanced to parts of AQE's
@@ -27,14 +28,38 @@ def write_parquet(
     writer.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write CSV with a header."""
-    df.write.mode(mode).option("header", True).csv(path)
+def one_part(df: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """``df`` in one partition, sorted within it by ``order``.
 
+    Only for a limited or aggregated table, which one task holds: the caller
+    chooses it by argument, never by the table's size.
+    """
+    single = df.repartition(1)
+    return single.sortWithinPartitions(*order) if order else single
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+
+def write_csv(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    single_part: bool = False,
+    order: list[str] | None = None,
+) -> None:
+    """Write CSV with a header; ``single_part`` writes one ordered file (see ``one_part``)."""
+    rows = one_part(df, order) if single_part else df
+    rows.write.mode(mode).option("header", True).csv(path)
+
+
+def write_json(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    single_part: bool = False,
+    order: list[str] | None = None,
+) -> None:
     """Write JSON lines; every record keeps all its fields, also null ones."""
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+    rows = one_part(df, order) if single_part else df
+    rows.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def write_csv_tables(tables: dict[str, DataFrame], folder: str, mode: str = "overwrite") -> None:
