@@ -129,6 +129,81 @@ def with_tagger(
     )
 
 
+#: A (head, text) pair held by at least one in this many candidates is joined back by broadcast.
+HEAVY_SHARE = 4096
+#: Rows given to the tagger at once within a task.
+TAG_BATCH = 256
+
+_taggers: dict[int, Callable] = {}
+
+
+def with_tagger_on_distinct(
+    candidates: DataFrame,
+    tag: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
+    setup: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]] | None = None,
+) -> DataFrame:
+    """``with_tagger``, with each distinct (head, text) tagged once.
+
+    The pairs come from a partial aggregate, so copies fold in their map task;
+    they are tagged in batches of at most ``TAG_BATCH`` rows by ``tag``, or by
+    the tagger that ``setup`` builds once per Python worker (a model loads
+    once, not per batch).  Tags go back to the candidates by a join on the
+    pair: pairs held by at least ``1 / HEAVY_SHARE`` of the rows are at most
+    ``HEAVY_SHARE`` by arithmetic and are broadcast, the others are light keys
+    of a shuffle join.  Null heads or texts are tagged like any value.
+    """
+    if (tag is None) == (setup is None):
+        raise ValueError("Give either tag or setup")
+    keys = ["vehicle_head_clean", "candidate_full_text"]
+    pairs = candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+
+    def tag_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tagger = tag
+        if tagger is None:
+            tagger = _taggers.get(id(setup))
+            if tagger is None:
+                tagger = _taggers[id(setup)] = setup()
+        for batch in batches:
+            for start in range(0, len(batch), TAG_BATCH):
+                part = batch.iloc[start : start + TAG_BATCH]
+                tags = tagger(part[keys].reset_index(drop=True))
+                yield part[[*keys, "_copies"]].assign(
+                    head_lemma=tags["head_lemma"].to_numpy(), head_pos=tags["head_pos"].to_numpy()
+                )
+
+    tagged = pairs.mapInPandas(
+        tag_batches,
+        "vehicle_head_clean string, candidate_full_text string, _copies long, "
+        "head_lemma string, head_pos string",
+    )
+    # The tag side gets names of its own: it comes from the candidates, and a join
+    # of a table with itself would not tell the sides apart.
+    named = tagged.select(
+        F.col("vehicle_head_clean").alias("_head"),
+        F.col("candidate_full_text").alias("_text"),
+        "_copies",
+        F.col("head_lemma").alias("_lemma"),
+        F.col("head_pos").alias("_pos"),
+    )
+    everything = candidates.agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = named.crossJoin(everything).filter(
+        F.col("_copies") * F.lit(HEAVY_SHARE) >= F.col("_rows")
+    ).drop("_copies", "_rows")
+
+    def pair_of(side: DataFrame) -> Column:
+        return F.col(keys[0]).eqNullSafe(side["_head"]) & F.col(keys[1]).eqNullSafe(side["_text"])
+
+    with_heavy = candidates.join(F.broadcast(heavy), pair_of(heavy), "left").withColumn(
+        "_hot", F.col("_head").isNotNull() | F.col("_text").isNotNull()
+    ).drop("_head", "_text")
+    hot = with_heavy.filter("_hot")
+    light = with_heavy.filter("NOT _hot").drop("_lemma", "_pos")
+    rest = named.drop("_copies")
+    joined = light.join(rest, pair_of(rest), "left").drop("_head", "_text")
+    columns = [*candidates.columns, F.col("_lemma").alias("head_lemma"), F.col("_pos").alias("head_pos")]
+    return hot.select(*columns).unionByName(joined.select(*columns))
+
+
 def label_heads(tagged: DataFrame) -> DataFrame:
     """Append the five head-label columns to tagged candidates."""
     labels = schemas.columns(schemas.HEAD_LABELS)

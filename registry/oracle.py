@@ -771,6 +771,16 @@ SELECT *, {_STRATEGY} AS dataset_strategy FROM totals JOIN overlap USING (experi
         *pt.VARIANTS,
     ),
     "nlp_labels": _heads("SELECT * FROM heads"),
+    "tagged_head_counts": _variants(
+        """
+SELECT translate(vehicle_head_clean, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    AS head_lemma,
+  CASE WHEN vehicle_head_clean IS NULL THEN 'X'
+       WHEN regexp_matches(vehicle_head_clean, '^[A-Z]') THEN 'PROPN' ELSE 'NOUN' END AS head_pos,
+  count(*) AS n
+FROM variants GROUP BY 1, 2""",
+        _V2,
+    ),
     "nlp_accepted": _heads(f"SELECT * FROM heads WHERE {_HEAD_OK}"),
     "nlp_promoted": _heads(
         "SELECT * REPLACE ('bare_como_visual_whitelist' AS pattern_type) FROM heads "

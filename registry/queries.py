@@ -69,6 +69,33 @@ def _heads(spark: SparkSession, sf: str) -> DataFrame:
     return hd.classify_heads(ex.variant_candidates(segments, [pt.BARE_V2.pattern_type]))
 
 
+_ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def plain_tagger(batch):
+    """A tagger in plain Python: ASCII lower case as lemma, capitals as proper nouns."""
+    import pandas as pd
+
+    lower = str.maketrans(_ASCII_UPPER, _ASCII_UPPER.lower())
+    heads = batch["vehicle_head_clean"]
+    return pd.DataFrame(
+        {
+            "head_lemma": [None if h is None else h.translate(lower) for h in heads],
+            "head_pos": [
+                "X" if h is None else "PROPN" if h[:1] in _ASCII_UPPER and h[:1] else "NOUN"
+                for h in heads
+            ],
+        }
+    )
+
+
+def _tagged_head_counts(spark: SparkSession, sf: str) -> DataFrame:
+    segments = _segments(spark, sf, pt.BARE_V2)
+    candidates = ex.variant_candidates(segments, [pt.BARE_V2.pattern_type])
+    tagged = hd.with_tagger_on_distinct(candidates, plain_tagger)
+    return tagged.groupBy("head_lemma", "head_pos").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _stored_matches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     # Gold and bare candidates from one corpus scan: the matches, a small part
     # of the text, are stored once and both branches read them.
@@ -236,6 +263,7 @@ QUERIES: dict[str, Query] = {
     "dataset_strategy": _strategy,
     # head labels
     "nlp_labels": _on(_heads, _same),
+    "tagged_head_counts": _tagged_head_counts,
     "nlp_accepted": _on(_heads, hd.head_accepted),
     "nlp_promoted": _on(_heads, hd.promoted),
     "nlp_label_counts": _on(_heads, ct.head_label_counts),
