@@ -24,11 +24,13 @@ variable-length grams:
    lists of those grams give the candidates; the count of shared grams is then
    checked against both bounds, and Spark's banded Levenshtein verifies that
    exactly one edit separates them.
-5. **The rest, exactly.**  A word with ``tau <= 0`` cannot be filtered by
-   counting; it is probed by its one-letter deletions (and itself) against those
-   of every word of a length it can reach, which finds every word within one
-   edit, then verified likewise.  Such words are short: ``tau <= 0`` needs
-   ``|VG| <= NAG``, which bounds the length.
+5. **The rest, exactly.**  A word with ``tau < MIN_TAU`` is filtered poorly or
+   not at all by counting (its first ``NAG + 1`` grams are most of its grams, so
+   its lists hold most words that share any gram); it is probed by its
+   one-letter deletions (and itself) against those of every word of a length it
+   can reach, which finds every word within one edit, then verified likewise.
+   Such words are short: ``tau < MIN_TAU`` needs ``|VG| < NAG + MIN_TAU``, and
+   NAG is at most the span, which bounds the length.
 
 A word's form is its near word of largest count (ties: the smallest in
 code-point order) when that count is at least ``FORM_FACTOR`` times its own;
@@ -64,6 +66,8 @@ FORM_FACTOR = 10
 Q_MIN = 2
 Q_MAX = 3
 PRUNE_SHARE = 0.002
+#: Words whose bound is below this go the exact way of deletions instead of the lists.
+MIN_TAU = 4
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -167,7 +171,7 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
     # Global order of tokens: rarest first.
     rarity = kept.groupBy("token").agg(F.count(F.lit(1)).alias("lists"))
     first = Window.partitionBy("word").orderBy("lists", "token")
-    filterable = bound.filter("tau > 0").select("word", "nag", "tau")
+    filterable = bound.filter(F.col("tau") >= MIN_TAU).select("word", "nag", "tau")
     ordered = kept.join(rarity, "token").join(filterable, "word")
     prefix = ordered.withColumn("at", F.row_number().over(first)).filter(
         F.col("at") <= F.col("nag") + 1
@@ -187,7 +191,7 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
     by_grams = _one_edit(counted)
 
     # Words that counting cannot filter, probed by their deletions.
-    loose = bound.filter("tau <= 0").select("word")
+    loose = bound.filter(F.col("tau") < MIN_TAU).select("word")
     reach = loose.agg(F.max(F.char_length("word")).alias("longest"))
     reachable = vocab.join(F.broadcast(reach), F.char_length("word") <= F.col("longest") + 1).select("word")
     keys = lambda t: t.select(

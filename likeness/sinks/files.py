@@ -72,3 +72,37 @@ def write_json_tables(tables: dict[str, DataFrame], folder: str, mode: str = "ov
     """Write several JSON-lines outputs below one folder."""
     for name, table in tables.items():
         write_json(table, f"{folder}/{name}", mode)
+
+
+def read_csv_table(spark, path: str, schema) -> DataFrame:
+    """A CSV folder written by ``write_csv``, read back with its table's schema.
+
+    The header must name the schema's fields in their order and every value
+    must parse as its type, or the read fails; an empty field is null, a quoted
+    empty one the empty text.
+    """
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .csv(path)
+    )
+
+
+def read_json_table(spark, path: str, schema) -> DataFrame:
+    """A JSON-lines folder written by ``write_json``, read back with its table's schema.
+
+    Fields are taken by name into the schema's order; a value of another type
+    fails the read.
+    """
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def read_back(spark, folder: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every output of ``tables`` written below ``folder``, read back by the schema of its table."""
+    found = {}
+    for name, table in tables.items():
+        reader = read_csv_table if name.endswith(".csv") else read_json_table
+        found[name] = reader(spark, f"{folder}/{name}", table.schema)
+    return found

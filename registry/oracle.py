@@ -958,3 +958,7 @@ pattern_candidates label_counts pattern_pair_counts reason_counts nlp_labels nlp
 """.split():
     ORACLE[f"english_{_name}"] = _on_documents(ORACLE[_name])
 ORACLE["stage_counts_with_lexicon"] = _on_documents(ORACLE["stage_counts"])
+
+# Written and read back: the same rows as the tables themselves.
+ORACLE["csv_read_back"] = ORACLE["ground_vehicle_counts"]
+ORACLE["json_read_back"] = ORACLE["backend_candidates"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,7 @@ from likeness.operators import evaluate as ev
 from likeness.operators import export as xp
 from likeness.operators import extract as ex
 from likeness.operators import heads as hd
+from likeness.session import shared_folder
 from likeness.operators import merge as mg
 from likeness.operators import patterns as pt
 from likeness.operators import samples as sm
@@ -96,6 +99,16 @@ def _tagged_head_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tagged.groupBy("head_lemma", "head_pos").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _written_and_read(spark: SparkSession, table: DataFrame, name: str) -> DataFrame:
+    """``table`` written by the plans' writer to the shared folder and read back."""
+    from likeness.sinks import files
+
+    folder = f"{shared_folder(spark)}/read-back-{uuid.uuid4().hex}"
+    write = files.write_csv_tables if name.endswith(".csv") else files.write_json_tables
+    write({name: table}, folder)
+    return files.read_back(spark, folder, {name: table})[name]
+
+
 def _stored_matches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     # Gold and bare candidates from one corpus scan: the matches, a small part
     # of the text, are stored once and both branches read them.
@@ -264,6 +277,12 @@ QUERIES: dict[str, Query] = {
     # head labels
     "nlp_labels": _on(_heads, _same),
     "tagged_head_counts": _tagged_head_counts,
+    "csv_read_back": lambda s, d: _written_and_read(
+        s, ct.ground_vehicle_counts(_gold(s, d)), "como_article_ground_vehicle_counts.csv"
+    ),
+    "json_read_back": lambda s, d: _written_and_read(
+        s, xp.export_records(_cleaned(s, d)), "candidates.jsonl"
+    ),
     "nlp_accepted": _on(_heads, hd.head_accepted),
     "nlp_promoted": _on(_heads, hd.promoted),
     "nlp_label_counts": _on(_heads, ct.head_label_counts),
