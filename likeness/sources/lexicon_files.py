@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from likeness import lexicon as lx
 from likeness import schemas
+from likeness.session import checkpointed
 
 _LINE_BREAK = r"\r?\n"
 _BLANK_LINES = r"\r?\n[ \t]*(?:\r?\n[ \t]*)+"
+#: Groups of a record are numbered below this: array indices have 31 bits.
+_GROUPS = 2**31
 
 
 def quality_words(lines: DataFrame) -> DataFrame:
@@ -62,33 +65,76 @@ def verb_groups(files: DataFrame) -> DataFrame:
     return _groups(files.select("value", "path", first.alias("record")))
 
 
-def _groups(records: DataFrame) -> DataFrame:
-    """Lexicon rows of records (``value, path, record``), ``record`` ordering them in a file."""
-    groups = records.select(
-        F.col("path").alias("ground_reference_path"),
-        "record",
-        F.posexplode(F.split(F.trim("value"), _BLANK_LINES)).alias("at", "block"),
-    ).withColumn("group_id", F.struct("record", "at"))
-    words = F.filter(
-        F.transform(F.split("block", _LINE_BREAK), lambda w: F.lower(F.trim(w))),
+def _ranked(records: DataFrame) -> DataFrame:
+    """``path, record, rank``: every different place of a record, numbered in order.
+
+    Held, because the numbers of a sort are only alike within one run of it.
+    """
+    places = records.select("path", "record").distinct().orderBy("path", "record")
+    return checkpointed(places.withColumn("rank", F.monotonically_increasing_id()))
+
+
+def _words(block: Column) -> Column:
+    return F.filter(
+        F.transform(F.split(block, _LINE_BREAK), lambda w: F.lower(F.trim(w))),
         lambda w: w != "",
     )
-    forms = groups.withColumn("words", words).select(
-        "ground_reference_path",
-        "group_id",
-        F.get("words", F.lit(0)).alias("lemma"),
-        F.explode("words").alias("form"),
+
+
+def _groups(records: DataFrame) -> DataFrame:
+    """Lexicon rows of records (``value, path, record``), ``record`` ordering them in a file.
+
+    A form's first group is found as the smallest of one number for record and
+    group, so that forms are counted together by hash in their map tasks (a
+    smallest struct would sort every word).  Only the groups found are read again
+    for their lemma; where records share path and place, the smallest lemma counts.
+    """
+    ranks = _ranked(records).toDF("_path", "_record", "rank")
+    same = F.col("path").eqNullSafe(F.col("_path")) & (F.col("record") == F.col("_record"))
+    keyed = records.join(ranks, same).select(
+        "path", "rank", F.split(F.trim("value"), _BLANK_LINES).alias("blocks")
+    )
+    # An array index has 31 bits; the number is a decimal, so no rank is too large.
+    group = F.expr(f"CAST(rank AS decimal(19,0)) * {_GROUPS}BD + at").alias("group")
+    first = (
+        keyed.select("rank", F.posexplode("blocks").alias("at", "block"))
+        .select(group, _words(F.col("block")).alias("words"))
+        .select("group", F.explode("words").alias("form"))
+        .groupBy("form")
+        .agg(F.min("group").alias("group"))
+    )
+    found = (
+        first.groupBy("group")
+        .agg(F.collect_list("form").alias("forms"))
+        .select(
+            F.expr(f"CAST(group div {_GROUPS}BD AS bigint)").alias("rank"),
+            F.expr(f"CAST(group % {_GROUPS}BD AS int)").alias("at"),
+            "forms",
+        )
+        .groupBy("rank")
+        .agg(F.collect_list(F.struct("at", "forms")).alias("found"))
+    )
+    blocks = F.transform(
+        "found", lambda g: F.struct(F.get("blocks", g["at"]).alias("block"), g["forms"].alias("forms"))
     )
-    first = F.min(F.struct("ground_reference_path", "group_id", "lemma"))
     return (
-        forms.groupBy("form")
-        .agg(first.alias("first"))
+        keyed.join(found, "rank")
+        .select("path", F.inline(blocks))
+        .select("path", "forms", _words(F.col("block")).alias("words"))
+        .select(
+            "path",
+            F.get("words", F.lit(0)).alias("lemma"),
+            F.array_intersect("forms", "words").alias("forms"),
+        )
+        .select("path", "lemma", F.explode("forms").alias("form"))
+        .groupBy("form")
+        .agg(F.min(F.struct("path", "lemma")).alias("first"))
         .select(
             "form",
             F.col("first.lemma").alias("lemma"),
             F.lit(lx.SALIENT_VERB).alias("ground_type"),
             F.lit("verb_reference").alias("ground_source"),
-            F.col("first.ground_reference_path").alias("ground_reference_path"),
+            F.col("first.path").alias("ground_reference_path"),
         )
     )
 
