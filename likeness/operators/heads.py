@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from likeness import lexicon as lx
 from likeness import schemas
 from likeness.functions import text as tx
+from likeness.session import checkpointed
 
 # ---- fixed values -----------------------------------------------------------
 ROLE_CONTEXT_WORDS = """
@@ -151,10 +152,14 @@ def with_tagger_on_distinct(
     pair: pairs held by at least ``1 / HEAVY_SHARE`` of the rows are at most
     ``HEAVY_SHARE`` by arithmetic and are broadcast, the others are light keys
     of a shuffle join.  Null heads or texts are tagged like any value.
+
+    Candidates and tags are each made once and held, as several branches read
+    them; pass only the columns that are needed afterwards.
     """
     if (tag is None) == (setup is None):
         raise ValueError("Give either tag or setup")
     keys = ["vehicle_head_clean", "candidate_full_text"]
+    candidates = checkpointed(candidates)
     pairs = candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
 
     def tag_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,10 +176,12 @@ def with_tagger_on_distinct(
                     head_lemma=tags["head_lemma"].to_numpy(), head_pos=tags["head_pos"].to_numpy()
                 )
 
-    tagged = pairs.mapInPandas(
-        tag_batches,
-        "vehicle_head_clean string, candidate_full_text string, _copies long, "
-        "head_lemma string, head_pos string",
+    tagged = checkpointed(
+        pairs.mapInPandas(
+            tag_batches,
+            "vehicle_head_clean string, candidate_full_text string, _copies long, "
+            "head_lemma string, head_pos string",
+        )
     )
     # The tag side gets names of its own: it comes from the candidates, and a join
     # of a table with itself would not tell the sides apart.
@@ -185,7 +192,7 @@ def with_tagger_on_distinct(
         F.col("head_lemma").alias("_lemma"),
         F.col("head_pos").alias("_pos"),
     )
-    everything = candidates.agg(F.count(F.lit(1)).alias("_rows"))
+    everything = tagged.agg(F.sum("_copies").alias("_rows"))
     heavy = named.crossJoin(everything).filter(
         F.col("_copies") * F.lit(HEAVY_SHARE) >= F.col("_rows")
     ).drop("_copies", "_rows")

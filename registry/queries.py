@@ -95,7 +95,8 @@ def plain_tagger(batch):
 def _tagged_head_counts(spark: SparkSession, sf: str) -> DataFrame:
     segments = _segments(spark, sf, pt.BARE_V2)
     candidates = ex.variant_candidates(segments, [pt.BARE_V2.pattern_type])
-    tagged = hd.with_tagger_on_distinct(candidates, plain_tagger)
+    pairs = candidates.select("vehicle_head_clean", "candidate_full_text")
+    tagged = hd.with_tagger_on_distinct(pairs, plain_tagger)
     return tagged.groupBy("head_lemma", "head_pos").agg(F.count(F.lit(1)).alias("n"))
 
 

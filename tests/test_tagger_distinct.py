@@ -35,3 +35,24 @@ def test_plain_tagger():
     tags = plain_tagger(pd.DataFrame({"vehicle_head_clean": ["Touro", "rocha", None, ""], "candidate_full_text": ["a"] * 4}))
     assert list(tags["head_pos"]) == ["PROPN", "NOUN", "X", "NOUN"]
     assert list(tags["head_lemma"]) == ["touro", "rocha", None, ""]
+
+
+def test_candidates_are_made_and_pairs_tagged_once(spark):
+    made, tagged = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    schema = "id long, vehicle_head_clean string, candidate_full_text string"
+
+    def make(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    def tag(batch):
+        tagged.add(len(batch))
+        return plain_tagger(batch)
+
+    candidates = _candidates(spark)
+    rows = candidates.count()
+    pairs = candidates.select("vehicle_head_clean", "candidate_full_text").distinct().count()
+    got = hd.with_tagger_on_distinct(candidates.mapInPandas(make, schema), tag)
+    assert len(got.collect()) == rows
+    assert (made.value, tagged.value) == (rows, pairs)
