@@ -2,11 +2,10 @@
 
 Every word position of a piece yields one row: the window of the longest
 order (``ORDER`` words) that starts there, padded with empty strings where the
-piece ends.  One ``ROLLUP`` over ``(lang, w1, .., wORDER)`` then gives every
-count at once: the full window rows are the counts of the longest phrases,
-and each shorter prefix is summed from them (a padded window still counts
-its non-padded prefix), so no n-gram of a shorter order is exploded on its
-own.  The total of a language is the number of its words.
+piece ends.  The windows are counted: full ones are the counts of the longest
+phrases.  Each shorter prefix is summed from the counts one order above (a
+padded window still counts its non-padded prefix), so no n-gram of a shorter
+order is made from the words.  The total of a language is the number of its words.
 
 A candidate is a phrase of 2 to ``ORDER`` words seen at least ``MIN_COUNT``
 times.  Cutting it after its first k words gives the counts l and r of both
@@ -83,27 +82,39 @@ def windows(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
 
 def counts(win: DataFrame) -> DataFrame:
     """``lang, order, phrase, f``: counts of every phrase up to ``ORDER`` words, and
-    ``order`` 0 with the language's word count ``n``, from one ROLLUP."""
+    ``order`` 0 with the language's word count ``n``.
+
+    Only the counts of the longest windows come from the words; each shorter order
+    is summed from the order above, which Spark reads again from its shuffle.
+    """
     cols = [f"w{k + 1}" for k in range(ORDER)]
-    rolled = win.rollup("lang", *cols).agg(
-        F.count("*").alias("f"), F.grouping_id().alias("gid")
-    )
-    # Grouping id: one bit per rolled-away column, the last column lowest; the
-    # grand total (``lang`` rolled away too) is left out.
-    level = F.lit(ORDER) - F.bit_count(F.col("gid") % (1 << ORDER)).cast("int")
-    kept = rolled.filter(F.col("gid") < (1 << ORDER))
-    kept = kept.withColumn("order", level)
-    used = [F.col(c) for c in cols]
-    # A prefix ending in padding is no phrase of that order.
-    last_word = F.element_at(F.array(*used), F.greatest(F.col("order"), F.lit(1)))
-    kept = kept.filter((F.col("order") == 0) | (last_word != F.lit(_PAD)))
-    phrase = F.array_join(F.slice(F.array(*used), 1, F.col("order")), " ")
-    return kept.select(
-        "lang",
-        F.col("order").cast("int").alias("order"),
-        F.when(F.col("order") == 0, F.lit(_PAD)).otherwise(phrase).alias("phrase"),
-        F.col("f").cast("long").alias("f"),
+    # One text per window, its words and its language: words hold neither spaces nor
+    # line feeds, and one column makes the rows of the shuffles half as long.
+    spoken = F.array_join(F.filter(F.array(*cols), lambda w: w != F.lit(_PAD)), " ")
+    words = F.substring_index("key", "\n", 1)
+    spaces = F.char_length(words) - F.char_length(F.replace(words, F.lit(" "), F.lit("")))
+    lang = F.expr(r"substring(key, instr(key, '\n') + 1)")
+    level = (
+        win.select(F.concat(spoken, F.lit("\n"), "lang").alias("key"))
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("f"))
     )
+    found = None
+    for order in range(ORDER, -1, -1):
+        # A window that ends before its order is no phrase of that order.  The product
+        # keeps the test above the counts: below them, each order would shuffle rows of
+        # its own.
+        whole = (spaces == max(order - 1, 0)).cast("long")
+        phrases = level.filter(F.col("f") * whole > 0).select(
+            lang.alias("lang"),
+            F.lit(order).alias("order"),
+            words.alias("phrase"),
+            F.col("f").cast("long").alias("f"),
+        )
+        found = phrases if found is None else found.unionByName(phrases)
+        prefix = F.concat(F.substring_index(words, " ", order - 1), F.lit("\n"), lang)
+        level = level.select(prefix.alias("key"), "f").groupBy("key").agg(F.sum("f").alias("f"))
+    return found
 
 
 def _lookup(rows: DataFrame, key: str, out: str, table: DataFrame, heavy: DataFrame) -> DataFrame:
