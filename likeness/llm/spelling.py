@@ -19,11 +19,14 @@ variable-length grams:
    and no others.  The most kept grams in such a span is the word's NAG, and a
    word within one edit shares at least ``tau = |VG| - NAG`` grams (as
    multisets) with it.
-4. **List merging.**  Grams in a global order (rarest first): two words with
-   ``max(tau)`` shared grams share one of their first ``NAG + 1`` grams, so the
-   lists of those grams give the candidates; the count of shared grams is then
-   checked against both bounds, and Spark's banded Levenshtein verifies that
-   exactly one edit separates them.
+4. **List merging.**  One edit leaves the order of the unaffected grams and moves
+   them by one letter at most, so in a global order (rarest first, then by
+   position) two words share one of their first ``NAG + 1`` grams, at the same
+   position or, if one word is longer, there or one letter on.  The lists of
+   those grams by length and position give the candidates.  Counting follows on
+   64-bit signatures of the grams: more than ``NAG`` bits that the other word does
+   not have are more than ``NAG`` grams not shared.  Spark's banded Levenshtein
+   then verifies that exactly one edit separates them.
 5. **The rest, exactly.**  A word with ``tau < MIN_TAU`` is filtered poorly or
    not at all by counting (its first ``NAG + 1`` grams are most of its grams, so
    its lists hold most words that share any gram); it is probed by its
@@ -53,7 +56,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from likeness.llm.tables import filled, held
+from likeness.llm.tables import bound, filled, held
 
 #: Fixed values of the contract: letter runs, the deletion rule, word limits, forms.
 RUN = r"[A-Za-zÀ-ÿ]+"
@@ -68,6 +71,8 @@ Q_MAX = 3
 PRUNE_SHARE = 0.002
 #: Words whose bound is below this go the exact way of deletions instead of the lists.
 MIN_TAU = 4
+#: How much longer the other word is, and how much later a shared gram starts in it.
+MOVES = ((0, 0), (1, 0), (1, 1))
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -93,66 +98,81 @@ def words(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     ).select("word", F.col("n").cast("long").alias("n"))
 
 
-def _grams_at(word: Column, lengths: range) -> Column:
-    """``pos, len, gram`` of every gram of the given lengths in ``word``."""
-    size = F.char_length(word)
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(size - Q_MIN, F.lit(-1))),
-            lambda p: F.transform(
-                F.filter(F.array(*[F.lit(q) for q in lengths]), lambda q: p + q <= size),
-                lambda q: F.struct(p.alias("pos"), q.alias("len"), word.substr(p + 1, q).alias("gram")),
-            ),
-        )
-    )
+def _gram(word: Column, position: Column, length: int) -> Column:
+    return word.substr(position + 1, F.lit(length))
+
 
+def _positions(word: Column) -> Column:
+    """Every position of ``word`` at which a shortest gram starts."""
+    # Words have at least MIN_LENGTH letters, so there is a first and a last one.
+    return F.sequence(F.lit(0), F.char_length(word) - Q_MIN)
 
-def dictionary(vocab: DataFrame) -> DataFrame:
-    """``gram``: the frequency-pruned gram dictionary."""
-    placed = vocab.select(F.inline(_grams_at(F.col("word"), range(Q_MIN, Q_MAX + 1))))
-    freq = placed.groupBy("len", "gram").agg(F.count(F.lit(1)).alias("f"))
-    totals = freq.groupBy("len").agg(F.sum("f").alias("total"))
-    frequent = freq.join(F.broadcast(totals), "len").filter(
-        F.col("f") > F.col("total") * F.lit(PRUNE_SHARE)
-    ).select("len", "gram")
-    found = freq.filter(F.col("len") == Q_MIN).select("gram")
-    for q in range(Q_MIN + 1, Q_MAX + 1):
-        longer = freq.filter(F.col("len") == q).select("gram")
-        for m in range(Q_MIN, q):
-            prefix = frequent.filter(F.col("len") == m).select(F.col("gram").alias("prefix"))
-            longer = longer.join(prefix, F.substring("gram", 1, m) == F.col("prefix"), "left_semi")
-        found = found.unionByName(longer)
+
+def frequent_grams(vocab: DataFrame) -> list[str]:
+    """The grams that are made longer: each prefix of theirs is frequent too.
+
+    At most ``1 / PRUNE_SHARE`` of each length, whatever the table, so they are
+    literals of the decomposition.
+    """
+    word = F.col("word")
+    found: list[str] = []
+    for q in range(Q_MIN, Q_MAX):
+        starts = F.filter(_positions(word), lambda p: p + q <= F.char_length(word))
+        grams = vocab.select(F.explode(F.transform(starts, lambda p: _gram(word, p, q))).alias("gram"))
+        freq = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("f"))
+        total = freq.agg(F.sum("f").alias("total"))
+        share = freq.join(F.broadcast(total)).filter(F.col("f") > F.col("total") * F.lit(PRUNE_SHARE))
+        shorter = set(found)
+        found += [r.gram for r in share.collect() if q == Q_MIN or r.gram[:-1] in shorter]
     return found
 
 
-def decompose(vocab: DataFrame, grams: DataFrame) -> DataFrame:
-    """``word, pos, gram, token``: the kept grams of every word; ``token`` tells repeats apart."""
-    placed = vocab.select("word", F.inline(_grams_at(F.col("word"), range(Q_MIN, Q_MAX + 1))))
-    hits = placed.join(grams, "gram", "left_semi")
-    longest = hits.groupBy("word", "pos").agg(F.max("len").alias("len"))
-    before = Window.partitionBy("word").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    ends = longest.withColumn("end", F.col("pos") + F.col("len"))
-    kept = ends.withColumn("reach", F.max("end").over(before)).filter(
-        F.col("reach").isNull() | (F.col("end") > F.col("reach"))
-    ).withColumn("gram", F.expr("substring(word, pos + 1, len)"))
-    nth = Window.partitionBy("word", "gram").orderBy("pos")
-    return kept.select(
-        "word",
-        "pos",
-        "gram",
-        F.concat("gram", F.lit("#"), F.row_number().over(nth).cast("string")).alias("token"),
-    )
+def decompose(vocab: DataFrame, frequent: list[str]) -> DataFrame:
+    """``word, grams, nag, tau``: the kept grams ``(pos, gram)`` of every word, the most of
+    them that one edit affects, and how many are shared at least.
+
+    The longest dictionary gram at a position is as long as its prefixes are
+    frequent: every gram of a word is in the table of words.  A gram is kept when it
+    ends after every gram before it, of which only those that start less than
+    ``Q_MAX - Q_MIN + 1`` letters before can end as late.
+    """
+    word = F.col("word")
 
+    def size_at(p: Column) -> Column:
+        size = F.lit(Q_MIN)
+        for q in reversed(range(Q_MIN, Q_MAX)):
+            longer = F.lit(q + 1) if q == Q_MAX - 1 else size
+            grows = _gram(word, p, q).isin(frequent) & (p + q + 1 <= F.char_length(word))
+            size = F.when(grows, longer).otherwise(F.lit(q))
+        return size
+
+    def is_kept(ends: Column, p: Column) -> Column:
+        kept = F.lit(True)
+        for back in range(1, Q_MAX - Q_MIN + 1):
+            kept = kept & F.coalesce(F.get(ends, p - back) < F.get(ends, p), F.lit(True))
+        return kept
 
-def bounds(kept: DataFrame) -> DataFrame:
-    """``word, n_grams, nag, tau``: kept grams, most affected by one edit, shared at least."""
     span = 2 * Q_MAX - Q_MIN
-    ahead = Window.partitionBy("word").orderBy("pos").rangeBetween(0, span - 1)
-    return (
-        kept.withColumn("in_span", F.count(F.lit(1)).over(ahead))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n_grams"), F.max("in_span").alias("nag"))
-        .withColumn("tau", F.col("n_grams") - F.col("nag"))
+
+    def in_span(kept: Column, p: Column, i: Column) -> Column:
+        near = [F.coalesce(F.get(kept, i + k) < p + span, F.lit(False)) for k in range(1, span)]
+        return sum((one.cast("int") for one in near), F.lit(1))
+
+    def described(ends: Column, kept: Column) -> Column:
+        return F.struct(
+            F.transform(
+                kept, lambda p: F.struct(p.alias("pos"), word.substr(p + 1, F.get(ends, p) - p).alias("gram"))
+            ).alias("grams"),
+            F.array_max(F.transform(kept, lambda p, i: in_span(kept, p, i))).alias("nag"),
+        )
+
+    kept_of = lambda ends: F.filter(_positions(word), lambda p: is_kept(ends, p))
+    found = bound(
+        F.transform(_positions(word), lambda p: p + size_at(p)),
+        lambda ends: bound(kept_of(ends), lambda kept: described(ends, kept)),
+    )
+    return vocab.select("word", F.inline(F.array(found))).withColumn(
+        "tau", F.size("grams") - F.col("nag")
     )
 
 
@@ -162,36 +182,53 @@ def _one_edit(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _signature(grams: Column) -> Column:
+    """64 bits, one or more grams to a bit: grams that are not shared set at most as many."""
+    one = F.lit(1).cast("long")
+    bit = lambda g: F.call_function(
+        "shiftleft", one, F.pmod(F.xxhash64(g["gram"]), F.lit(64)).cast("int")
+    )
+    return F.aggregate(grams, F.lit(0).cast("long"), lambda bits, g: bits.bitwiseOR(bit(g)))
+
+
 def near_pairs(vocab: DataFrame) -> DataFrame:
     """``a, b``: every pair of words one edit apart, once each way."""
-    grams = dictionary(vocab)
-    kept = held(decompose(vocab, grams))
-    bound = held(bounds(kept))
-
-    # Global order of tokens: rarest first.
-    rarity = kept.groupBy("token").agg(F.count(F.lit(1)).alias("lists"))
-    first = Window.partitionBy("word").orderBy("lists", "token")
-    filterable = bound.filter(F.col("tau") >= MIN_TAU).select("word", "nag", "tau")
-    ordered = kept.join(rarity, "token").join(filterable, "word")
-    prefix = ordered.withColumn("at", F.row_number().over(first)).filter(
-        F.col("at") <= F.col("nag") + 1
-    ).select("word", "token")
-    listed = prefix.join(
-        prefix.withColumnRenamed("word", "other"), "token"
-    ).filter(F.col("word") < F.col("other")).select(
-        F.col("word").alias("a"), F.col("other").alias("b")
-    ).filter(F.abs(F.char_length("a") - F.char_length("b")) <= 1).distinct()
-    tokens = kept.groupBy("word").agg(F.collect_list("token").alias("tokens")).join(filterable, "word")
-    side = lambda name: tokens.select(
-        F.col("word").alias(name), F.col("tokens").alias(f"{name}_tokens"), F.col("tau").alias(f"{name}_tau")
+    described = decompose(vocab, frequent_grams(vocab))
+
+    # Global order of grams: rarest first, then by place.
+    filterable = described.filter(F.col("tau") >= MIN_TAU)
+    placed = filterable.select("word", "nag", _signature(F.col("grams")).alias("bits"), F.inline("grams"))
+    rarity = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("lists"))
+    first = Window.partitionBy("word").orderBy("lists", "gram", "pos")
+    # The dictionary is bounded: pairs of letters, and one more letter after frequent ones.
+    prefix = (
+        placed.join(F.broadcast(rarity), "gram")
+        .withColumn("at", F.row_number().over(first))
+        .filter(F.col("at") <= F.col("nag") + 1)
+        .select("word", "gram", "pos", F.char_length("word").alias("size"), "nag", "bits")
+    )
+    moves = F.array(*[F.struct(F.lit(g).alias("more"), F.lit(m).alias("moved")) for g, m in MOVES])
+    probes = prefix.select("*", F.inline(moves)).select(
+        F.col("word").alias("a"),
+        "gram",
+        (F.col("size") + F.col("more")).alias("size"),
+        (F.col("pos") + F.col("moved")).alias("pos"),
+        "more",
+        F.col("nag").alias("a_nag"),
+        F.col("bits").alias("a_bits"),
+    )
+    listed = probes.join(prefix.withColumnRenamed("word", "b"), ["gram", "size", "pos"]).filter(
+        (F.col("more") == 1) | (F.col("a") < F.col("b"))
     )
-    counted = listed.join(side("a"), "a").join(side("b"), "b").filter(
-        F.size(F.array_intersect("a_tokens", "b_tokens")) >= F.greatest("a_tau", "b_tau")
+    unshared = lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))
+    counted = listed.filter(
+        (unshared(F.col("a_bits"), F.col("bits")) <= F.col("a_nag"))
+        & (unshared(F.col("bits"), F.col("a_bits")) <= F.col("nag"))
     ).select("a", "b")
     by_grams = _one_edit(counted)
 
     # Words that counting cannot filter, probed by their deletions.
-    loose = bound.filter(F.col("tau") < MIN_TAU).select("word")
+    loose = described.filter(F.col("tau") < MIN_TAU).select("word")
     reach = loose.agg(F.max(F.char_length("word")).alias("longest"))
     reachable = vocab.join(F.broadcast(reach), F.char_length("word") <= F.col("longest") + 1).select("word")
     keys = lambda t: t.select(

@@ -119,3 +119,36 @@ def test_collocations_of_an_empty_table_and_clashing_columns(spark):
     assert collocations.mine(empty(spark)).count() == 0
     clashing = awkward(spark).withColumnRenamed("digest", "phrase").withColumnRenamed("chunk", "gid")
     assert collocations.mine(clashing).count() >= 0
+
+
+def test_every_order_is_summed_from_one_shuffle_of_windows(spark):
+    docs = spark.createDataFrame([(1, "a b c. d e", "en")], "doc_id long, text string, lang string")
+    counted = collocations.counts(collocations.windows(docs))
+    got = {(r.order, r.phrase): r.f for r in counted.collect()}
+    assert got[0, ""] == 5 and got[2, "d e"] == 1 and got[3, "a b c"] == 1 and len(got) == 10
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan  # no row per word and order
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Generate inline") <= 1
+
+
+def test_word_lists_are_by_length_and_position(spark):
+    # Words of one rare gram each in a list of their own length and place.
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (9, 12, 15, 30, 60) for _ in range(20)]
+    near = [w[:i] + c + w[i + k :] for w in words for i in (0, len(w) // 2, len(w) - 1) for c in ("x", "") for k in (0, 1)]
+    vocab = spark.createDataFrame([(w, 2) for w in {*words, *near}], "word string, n long")
+    frequent = spelling.frequent_grams(vocab)
+    assert 0 < len(frequent) <= 1 / spelling.PRUNE_SHARE
+    described = spelling.decompose(vocab, frequent)
+    assert described.filter(f"tau >= {spelling.MIN_TAU}").count() > 100
+    pairs = {tuple(r) for r in spelling.near_pairs(vocab).collect()}
+    rows = {r[0] for r in vocab.collect()}
+    by_hand = set()
+    for w in rows:
+        for i in range(len(w) + 1):
+            for c in ["", *"abcdefghx"]:
+                for v in (w[:i] + c + w[i:], w[:i] + c + w[i + 1 :]):
+                    if v in rows and v != w:
+                        by_hand |= {(v, w), (w, v)}
+    assert pairs == by_hand
