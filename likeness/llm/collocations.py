@@ -1,11 +1,16 @@
-"""Phrase collocations mined by top-order marginalisation.
+"""Phrase collocations mined from the counts of windows, shorter orders first.
 
-Every word position of a piece yields one row: the window of the longest
-order (``ORDER`` words) that starts there, padded with empty strings where the
-piece ends.  The windows are counted: full ones are the counts of the longest
-phrases.  Each shorter prefix is summed from the counts one order above (a
-padded window still counts its non-padded prefix), so no n-gram of a shorter
-order is made from the words.  The total of a language is the number of its words.
+A phrase seen ``MIN_COUNT`` times has only parts seen as often, so the windows of
+``ORDER - 1`` words are counted first: every word position of a piece yields one
+row, the window that starts there (shorter where the piece ends).  Each distinct
+window then adds its count to its prefixes, so no n-gram of a shorter order is made
+from the words, and the total of a language is the number of its words.
+
+The windows of ``ORDER`` words are counted only where both windows of ``ORDER - 1``
+words in them may be frequent.  The frequent ones are marked in a bitmap by their
+hash: ``MARK_ROWS`` rows of 64 bits at most, whatever the input, joined by
+broadcast.  A hash shared by chance lets a window through that is then counted
+like any other, so the marks change the number of rows shuffled and never a count.
 
 A candidate is a phrase of 2 to ``ORDER`` words seen at least ``MIN_COUNT``
 times.  Cutting it after its first k words gives the counts l and r of both
@@ -36,85 +41,137 @@ from pyspark.sql.window import Window
 
 from likeness.llm.tables import bound, filled, held
 
-#: Fixed values of the contract: piece ends, word separators, orders, thresholds.
-PIECE_END = r"[.,;:!?\x0A-\x0D]"
-WORD_IN_PIECE = r"[^\x20\x09]+"
+#: Fixed values of the contract: orders, thresholds.
 ORDER = 3
 MIN_COUNT = 10
 CONTAINED_PERCENT = 50
 TOP = 2000
 SCALE = 1_000_000
 
+#: Rows of 64 bits in which frequent windows are marked by their hash.
+MARK_ROWS = 1 << 20
+
 #: A part counted at least one in this many words of the table is broadcast.
 HEAVY_SHARE = 4096
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
-_PAD = ""
+#: What words consist of, tabs being spaces: no space and none of the piece ends.
+_LETTER = r"[^ .,;:!?\n\x0B\f\r]"
+#: Beyond ASCII and small Latin-1 letters, ``lower`` would change more than A-Z.
+_OTHER_LETTERS = r"[^\x00-\x7F\xDF-\xFF]"
 _EXACT = "decimal(38,0)"
 
 
-def windows(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``lang, w1 .. wORDER``: one row per word, the longest window from it, padded."""
-    words_of = lambda piece: F.regexp_extract_all(piece, F.lit(WORD_IN_PIECE), 0)
-
-    def from_piece(piece: Column) -> Column:
-        return bound(
-            words_of(piece),
-            lambda ws: F.transform(
-                ws,
-                lambda w, i: F.struct(
-                    *[
-                        F.coalesce(F.get(ws, i + k), F.lit(_PAD)).alias(f"w{k + 1}")
-                        for k in range(ORDER)
-                    ]
-                ),
-            ),
-        )
-
-    lowered = F.translate(filled(text), _UPPER, _LOWER)
-    pieces = F.split(lowered, PIECE_END, -1)
+def _spaced(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """``lang, text``: A-Z in lower case, one space for each run of spaces and tabs."""
+    whole = filled(text)
+    lowered = F.when(
+        whole.rlike(_OTHER_LETTERS), F.translate(whole, _UPPER, _LOWER)
+    ).otherwise(F.lower(whole))
+    spaced = F.replace(lowered, F.lit("\t"), F.lit(" "))
     return docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-        F.inline(F.flatten(F.transform(pieces, from_piece))),
+        F.when(spaced.contains("  "), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced).alias("text"),
     )
 
 
-def counts(win: DataFrame) -> DataFrame:
-    """``lang, order, phrase, f``: counts of every phrase up to ``ORDER`` words, and
-    ``order`` 0 with the language's word count ``n``.
+def windows(
+    docs: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER, whole: bool = False
+) -> DataFrame:
+    """``lang, words``: one row per word, the window of ``order`` words from it,
+    space-joined; shorter where the piece ends, or left out there if ``whole``."""
+    times = f"{{{order - 1}}}" if whole else f"{{0,{order - 1}}}"
+    # The window is looked at from a word's first letter, and that word alone is consumed.
+    # Neither words nor spaces hold a piece end, so no window crosses one.
+    window = f"(?<!{_LETTER})(?=({_LETTER}++(?: {_LETTER}++){times})){_LETTER}++"
+    return _spaced(docs, text, lang).select(
+        "lang", F.explode(F.regexp_extract_all("text", F.lit(window), 1)).alias("words")
+    )
 
-    Only the counts of the longest windows come from the words; each shorter order
-    is summed from the order above, which Spark reads again from its shuffle.
-    """
-    cols = [f"w{k + 1}" for k in range(ORDER)]
+
+def _counted(win: DataFrame) -> DataFrame:
+    """``lang, words, f``: every distinct window with its count."""
     # One text per window, its words and its language: words hold neither spaces nor
-    # line feeds, and one column makes the rows of the shuffles half as long.
-    spoken = F.array_join(F.filter(F.array(*cols), lambda w: w != F.lit(_PAD)), " ")
-    words = F.substring_index("key", "\n", 1)
-    spaces = F.char_length(words) - F.char_length(F.replace(words, F.lit(" "), F.lit("")))
-    lang = F.expr(r"substring(key, instr(key, '\n') + 1)")
-    level = (
-        win.select(F.concat(spoken, F.lit("\n"), "lang").alias("key"))
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("f"))
-    )
-    found = None
-    for order in range(ORDER, -1, -1):
-        # A window that ends before its order is no phrase of that order.  The product
-        # keeps the test above the counts: below them, each order would shuffle rows of
-        # its own.
-        whole = (spaces == max(order - 1, 0)).cast("long")
-        phrases = level.filter(F.col("f") * whole > 0).select(
-            lang.alias("lang"),
-            F.lit(order).alias("order"),
-            words.alias("phrase"),
-            F.col("f").cast("long").alias("f"),
+    # line feeds, and one column makes the rows of the shuffle half as long.
+    keyed = win.select(F.concat("words", F.lit("\n"), "lang").alias("key"))
+    return keyed.groupBy("key").agg(F.count(F.lit(1)).alias("f")).select(
+        F.expr(r"substring(key, instr(key, '\n') + 1)").alias("lang"),
+        F.substring_index("key", "\n", 1).alias("words"),
+        "f",
+    )
+
+
+def counts(win: DataFrame, order: int = ORDER, least: int = 1) -> DataFrame:
+    """``lang, order, phrase, f``: counts of every phrase up to ``order`` words, and
+    ``order`` 0 with the language's word count ``n``, from windows of ``order`` words.
+
+    Phrases of ``order`` words are left out below the count ``least``; shorter ones
+    are all there.
+    """
+    spaces = F.char_length("words") - F.char_length(F.replace("words", F.lit(" "), F.lit("")))
+    # A window that ends before an order is no phrase of that order.
+    taken = lambda k: spaces >= k - 1 if k > 1 else F.lit(True)
+    parts = [
+        F.when(
+            taken(k) & (F.col("f") >= least) if k == order else taken(k),
+            F.struct(F.lit(k).alias("order"), F.substring_index("words", " ", k).alias("phrase")),
+        )
+        for k in range(order + 1)
+    ]
+    return (
+        _counted(win)
+        .select("lang", "f", F.inline(F.array(*parts)))
+        .filter("order IS NOT NULL")
+        .groupBy("lang", "order", "phrase")
+        .agg(F.sum("f").alias("f"))
+    )
+
+
+def _mark(words: Column) -> Column:
+    return F.pmod(F.xxhash64("lang", words), F.lit(64 * MARK_ROWS))
+
+
+def may_be_frequent(win: DataFrame, frequent: DataFrame, order: int = ORDER) -> DataFrame:
+    """The windows of ``order`` words less those whose first or last ``order - 1`` words
+    are no phrase of ``frequent`` (``lang, phrase``); a few of these may stay."""
+    bit = lambda mark: F.call_function(
+        "shiftleft", F.lit(1).cast("long"), (mark % 64).cast("int")
+    )
+    marks = (
+        frequent.select(_mark(F.col("phrase")).alias("mark"))
+        .groupBy(F.expr("mark div 64").alias("row"))
+        .agg(F.bit_or(bit(F.col("mark"))).alias("bits"))
+    )
+    for part in (
+        F.substring_index("words", " ", order - 1),
+        F.expr("substring(words, instr(words, ' ') + 1)"),
+    ):
+        win = (
+            win.withColumn("mark", _mark(part))
+            .withColumn("row", F.expr("mark div 64"))
+            .join(F.broadcast(marks), "row")
+            .filter(F.col("bits").bitwiseAND(bit(F.col("mark"))) != 0)
+            .select("lang", "words")
         )
-        found = phrases if found is None else found.unionByName(phrases)
-        prefix = F.concat(F.substring_index(words, " ", order - 1), F.lit("\n"), lang)
-        level = level.select(prefix.alias("key"), "f").groupBy("key").agg(F.sum("f").alias("f"))
-    return found
+    return win
+
+
+def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``lang, order, phrase, f`` of every phrase up to ``ORDER`` words seen at least
+    ``MIN_COUNT`` times, and ``order`` 0 with the language's word count."""
+    shorter = held(
+        counts(windows(docs, text, lang, ORDER - 1), ORDER - 1, MIN_COUNT).filter(
+            f"order = 0 OR f >= {MIN_COUNT}"
+        )
+    )
+    longest = may_be_frequent(
+        windows(docs, text, lang, ORDER, whole=True), shorter.filter(F.col("order") == ORDER - 1)
+    )
+    found = _counted(longest).filter(F.col("f") >= MIN_COUNT).select(
+        "lang", F.lit(ORDER).alias("order"), F.col("words").alias("phrase"), "f"
+    )
+    return shorter.unionByName(held(found))
 
 
 def _lookup(rows: DataFrame, key: str, out: str, table: DataFrame, heavy: DataFrame) -> DataFrame:
@@ -134,9 +191,7 @@ def _lookup(rows: DataFrame, key: str, out: str, table: DataFrame, heavy: DataFr
 def mine(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's best collocations."""
     # Counted once and held: only totals and phrases that can take part are kept.
-    counted = held(
-        counts(windows(docs, text, lang)).filter(f"order = 0 OR f >= {MIN_COUNT}")
-    )
+    counted = frequent_phrases(docs, text, lang)
     totals = counted.filter("order = 0").select("lang", F.col("f").alias("n"))
     grams = counted.filter(f"order > 0 AND f >= {MIN_COUNT}")
     everything = totals.agg(F.sum("n").alias("all_words"))

@@ -132,6 +132,26 @@ def test_every_order_is_summed_from_one_shuffle_of_windows(spark):
     assert final.count("Generate inline") <= 1
 
 
+def test_long_windows_are_counted_where_their_parts_are_frequent(spark):
+    rows = phrase_docs(8) + [(1000 + i, f"rare{i} new york, york city\tÉa{i}!b  A a", "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    every = collocations.counts(collocations.windows(docs)).collect()
+    often = {(r.lang, r.phrase) for r in every if r.order == 2 and r.f >= collocations.MIN_COUNT}
+    frequent = spark.createDataFrame(sorted(often), "lang string, phrase string")
+    kept = collocations.may_be_frequent(collocations.windows(docs, whole=True), frequent).collect()
+    threes = [r for r in every if r.order == 3]
+    inside = lambda lang, p: all((lang, q) in often for q in (p.rsplit(" ", 1)[0], p.split(" ", 1)[1]))
+    assert len(kept) == sum(r.f for r in threes if inside(r.lang, r.phrase)) < sum(r.f for r in threes) - 700
+    got = {(r.lang, r.order, r.phrase): r.f for r in collocations.frequent_phrases(docs).collect()}
+    assert got == {(r.lang, r.order, r.phrase): r.f for r in every if r.order == 0 or r.f >= collocations.MIN_COUNT}
+
+
+def test_a_long_word_is_read_once(spark):
+    docs = spark.createDataFrame([(1, "z" * 1_000_000 + " b", "en")], "doc_id long, text string, lang string")
+    assert collocations.windows(docs, whole=True).count() == 0
+    assert [len(r.words) for r in collocations.windows(docs).collect()] == [1_000_002, 1]
+
+
 def test_word_lists_are_by_length_and_position(spark):
     # Words of one rare gram each in a list of their own length and place.
     rng = random.Random(2)
