@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from likeness.llm.tables import bound, filled, held
+from likeness.llm.tables import filled, held, lower_a_to_z
 
 #: Fixed values of the contract: orders, thresholds.
 ORDER = 3
@@ -54,22 +54,14 @@ MARK_ROWS = 1 << 20
 #: A part counted at least one in this many words of the table is broadcast.
 HEAVY_SHARE = 4096
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: What words consist of, tabs being spaces: no space and none of the piece ends.
 _LETTER = r"[^ .,;:!?\n\x0B\f\r]"
-#: Beyond ASCII and small Latin-1 letters, ``lower`` would change more than A-Z.
-_OTHER_LETTERS = r"[^\x00-\x7F\xDF-\xFF]"
 _EXACT = "decimal(38,0)"
 
 
 def _spaced(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """``lang, text``: A-Z in lower case, one space for each run of spaces and tabs."""
-    whole = filled(text)
-    lowered = F.when(
-        whole.rlike(_OTHER_LETTERS), F.translate(whole, _UPPER, _LOWER)
-    ).otherwise(F.lower(whole))
-    spaced = F.replace(lowered, F.lit("\t"), F.lit(" "))
+    spaced = F.replace(lower_a_to_z(filled(text)), F.lit("\t"), F.lit(" "))
     return docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.when(spaced.contains("  "), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced).alias("text"),
@@ -145,7 +137,7 @@ def may_be_frequent(win: DataFrame, frequent: DataFrame, order: int = ORDER) ->
     )
     for part in (
         F.substring_index("words", " ", order - 1),
-        F.expr("substring(words, instr(words, ' ') + 1)"),
+        F.substring_index("words", " ", 1 - order),
     ):
         win = (
             win.withColumn("mark", _mark(part))

@@ -19,26 +19,27 @@ variable-length grams:
    and no others.  The most kept grams in such a span is the word's NAG, and a
    word within one edit shares at least ``tau = |VG| - NAG`` grams (as
    multisets) with it.
-4. **List merging.**  One edit leaves the order of the unaffected grams and moves
-   them by one letter at most, so in a global order (rarest first, then by
-   position) two words share one of their first ``NAG + 1`` grams, at the same
-   position or, if one word is longer, there or one letter on.  The lists of
-   those grams by length and position give the candidates.  Counting follows on
-   64-bit signatures of the grams: more than ``NAG`` bits that the other word does
-   not have are more than ``NAG`` grams not shared.  Spark's banded Levenshtein
-   then verifies that exactly one edit separates them.
+4. **List merging.**  Those spans are contiguous: the kept grams before the span
+   are the first ones of both words, at the same places from the start, those after
+   it the last ones, at the same places from the end.  So two words of
+   ``tau >= MIN_TAU`` share their first i and their last ``MIN_TAU - i`` grams for
+   some i from 0 to ``MIN_TAU``.  A word is listed under its ``MIN_TAU + 1`` such
+   runs, each as one number; words of one list share ``MIN_TAU`` grams at least, which
+   is the count filter.  Spark's banded Levenshtein then verifies that exactly one
+   edit separates them, so that numbers equal by chance add no pair.
 5. **The rest, exactly.**  A word with ``tau < MIN_TAU`` is filtered poorly or
-   not at all by counting (its first ``NAG + 1`` grams are most of its grams, so
-   its lists hold most words that share any gram); it is probed by its
-   one-letter deletions (and itself) against those of every word of a length it
-   can reach, which finds every word within one edit, then verified likewise.
+   not at all by counting (its runs would be too short, so its lists would hold
+   too many words); its one-letter deletions (and itself) are compared with those of
+   every word of a length it can reach, which finds every word within one edit, then
+   verified likewise.
    Such words are short: ``tau < MIN_TAU`` needs ``|VG| < NAG + MIN_TAU``, and
    NAG is at most the span, which bounds the length.
 
 A word's form is its near word of largest count (ties: the smallest in
 code-point order) when that count is at least ``FORM_FACTOR`` times its own;
 the root follows forms to the end.  Counts grow by ``FORM_FACTOR`` along a chain,
-so ``log10`` of the largest count bounds the steps, whatever the data.
+so ``log10`` of the largest count bounds the steps, whatever the data; each step
+takes only the words that are not at their root yet.
 
 Cases: null texts have no runs; a null doc_id is written as the empty text in
 the hashed ``<doc_id>:<run>``; a run shortened by the deletion rule is counted
@@ -51,12 +52,12 @@ read.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from likeness.llm.tables import bound, filled, held
+from likeness.llm.tables import bound, filled, held, lower_a_to_z
 
 #: Fixed values of the contract: letter runs, the deletion rule, word limits, forms.
 RUN = r"[A-Za-zÀ-ÿ]+"
@@ -71,19 +72,19 @@ Q_MAX = 3
 PRUNE_SHARE = 0.002
 #: Words whose bound is below this go the exact way of deletions instead of the lists.
 MIN_TAU = 4
-#: How much longer the other word is, and how much later a shared gram starts in it.
-MOVES = ((0, 0), (1, 0), (1, 1))
-
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``word, n``: the distinct words after the deletion rule, with their counts."""
-    runs = docs.select(
+    # A run shorter than a word, cut or not, is none: it needs no hash and no count.
+    long_run = F.lit(RUN.removesuffix("+") + f"{{{MIN_LENGTH},}}")
+    lowered = docs.select(
         F.coalesce(F.col(key).cast("string"), F.lit("")).alias("row_key"),
-        F.explode(F.regexp_extract_all(filled(text), F.lit(RUN), 0)).alias("run"),
-    ).select("row_key", F.translate("run", _UPPER, _LOWER).alias("run"))
+        lower_a_to_z(filled(text)).alias("lowered"),
+    )
+    runs = lowered.select(
+        "row_key", F.explode(F.regexp_extract_all("lowered", long_run, 0)).alias("run")
+    )
     h = F.crc32(F.concat("row_key", F.lit(":"), "run"))
     cut = (h % F.char_length("run")).cast("int")
     word = F.when(
@@ -128,7 +129,7 @@ def frequent_grams(vocab: DataFrame) -> list[str]:
 
 
 def decompose(vocab: DataFrame, frequent: list[str]) -> DataFrame:
-    """``word, grams, nag, tau``: the kept grams ``(pos, gram)`` of every word, the most of
+    """``vocab`` with ``grams, nag, tau``: the kept grams ``(pos, gram)`` of every word, the most of
     them that one edit affects, and how many are shared at least.
 
     The longest dictionary gram at a position is as long as its prefixes are
@@ -171,124 +172,133 @@ def decompose(vocab: DataFrame, frequent: list[str]) -> DataFrame:
         F.transform(_positions(word), lambda p: p + size_at(p)),
         lambda ends: bound(kept_of(ends), lambda kept: described(ends, kept)),
     )
-    return vocab.select("word", F.inline(F.array(found))).withColumn(
+    return vocab.select("*", F.inline(F.array(found))).withColumn(
         "tau", F.size("grams") - F.col("nag")
     )
 
 
-def _one_edit(pairs: DataFrame) -> DataFrame:
-    return pairs.filter(
-        (F.abs(F.char_length("a") - F.char_length("b")) <= 1) & (F.levenshtein("a", "b", 1) == 1)
+def _runs(grams: Column, size: Column) -> Column:
+    """The numbers of a word's first i and last ``MIN_TAU - i`` grams, for each i."""
+
+    def run(i: int) -> Column:
+        rest = MIN_TAU - i
+        last = F.slice(grams, -rest, rest) if rest else F.slice(grams, 1, 0)
+        return F.xxhash64(
+            F.lit(i),
+            F.slice(grams, 1, i),
+            F.transform(last, lambda g: F.struct(size - g["pos"], g["gram"])),
+        )
+
+    return F.array(*[run(i) for i in range(MIN_TAU + 1)])
+
+
+def _deletions(word: Column) -> Column:
+    """The numbers of a word and its one-letter deletions."""
+    shorter = F.transform(
+        F.sequence(F.lit(1), F.char_length(word)),
+        lambda i: F.concat(word.substr(F.lit(1), i - 1), word.substr(i + 1, F.char_length(word))),
     )
+    return F.transform(F.array_union(F.array(word), shorter), lambda w: F.xxhash64(w))
 
 
-def _signature(grams: Column) -> Column:
-    """64 bits, one or more grams to a bit: grams that are not shared set at most as many."""
-    one = F.lit(1).cast("long")
-    bit = lambda g: F.call_function(
-        "shiftleft", one, F.pmod(F.xxhash64(g["gram"]), F.lit(64)).cast("int")
+def _one_edit_apart(keyed: DataFrame) -> DataFrame:
+    """``a, a_n, b, b_n``: pairs one edit apart of ``key, word, n, loose`` that share a
+    key, one or both of them ``loose`` (1, else 0); ``a < b``."""
+    # Both sides read one shuffle: no condition below is on one side alone.
+    side = lambda x: keyed.select(
+        "key", F.col("word").alias(x), F.col("n").alias(f"{x}_n"), F.col("loose").alias(f"{x}_loose")
+    )
+    return (
+        side("a")
+        .join(side("b"), "key")
+        .filter(
+            (F.col("a") < F.col("b"))
+            & (F.col("a_loose") + F.col("b_loose") > 0)
+            & (F.abs(F.char_length("a") - F.char_length("b")) <= 1)
+            & (F.levenshtein("a", "b", 1) == 1)
+        )
+        .select("a", "a_n", "b", "b_n")
     )
-    return F.aggregate(grams, F.lit(0).cast("long"), lambda bits, g: bits.bitwiseOR(bit(g)))
 
 
-def near_pairs(vocab: DataFrame) -> DataFrame:
-    """``a, b``: every pair of words one edit apart, once each way."""
-    described = decompose(vocab, frequent_grams(vocab))
-
-    # Global order of grams: rarest first, then by place.
-    filterable = described.filter(F.col("tau") >= MIN_TAU)
-    placed = filterable.select("word", "nag", _signature(F.col("grams")).alias("bits"), F.inline("grams"))
-    rarity = placed.groupBy("gram").agg(F.count(F.lit(1)).alias("lists"))
-    first = Window.partitionBy("word").orderBy("lists", "gram", "pos")
-    # The dictionary is bounded: pairs of letters, and one more letter after frequent ones.
-    prefix = (
-        placed.join(F.broadcast(rarity), "gram")
-        .withColumn("at", F.row_number().over(first))
-        .filter(F.col("at") <= F.col("nag") + 1)
-        .select("word", "gram", "pos", F.char_length("word").alias("size"), "nag", "bits")
+def _pairs(vocab: DataFrame) -> DataFrame:
+    """``a, a_n, b, b_n``: every pair of words one edit apart, once, with their counts."""
+    word, size = F.col("word"), F.char_length("word")
+    by_runs = F.col("tau") >= MIN_TAU
+    # Decomposed once and held, with the runs instead of the grams.
+    described = held(
+        decompose(vocab, frequent_grams(vocab)).select(
+            "word", "n", F.when(by_runs, _runs(F.col("grams"), size)).alias("runs")
+        )
     )
-    moves = F.array(*[F.struct(F.lit(g).alias("more"), F.lit(m).alias("moved")) for g, m in MOVES])
-    probes = prefix.select("*", F.inline(moves)).select(
-        F.col("word").alias("a"),
-        "gram",
-        (F.col("size") + F.col("more")).alias("size"),
-        (F.col("pos") + F.col("moved")).alias("pos"),
-        "more",
-        F.col("nag").alias("a_nag"),
-        F.col("bits").alias("a_bits"),
+    listed = described.filter(F.col("runs").isNotNull()).select(
+        F.explode("runs").alias("key"), "word", "n", F.lit(1).alias("loose")
     )
-    listed = probes.join(prefix.withColumnRenamed("word", "b"), ["gram", "size", "pos"]).filter(
-        (F.col("more") == 1) | (F.col("a") < F.col("b"))
+
+    # Words that counting cannot filter, by their deletions.
+    loose = F.col("runs").isNull()
+    reach = described.filter(loose).agg(F.max(size).alias("longest"))
+    reachable = described.join(F.broadcast(reach), size <= F.col("longest") + 1)
+    probed = reachable.select(
+        F.explode(_deletions(word)).alias("key"), "word", "n", loose.cast("int").alias("loose")
     )
-    unshared = lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))
-    counted = listed.filter(
-        (unshared(F.col("a_bits"), F.col("bits")) <= F.col("a_nag"))
-        & (unshared(F.col("bits"), F.col("a_bits")) <= F.col("nag"))
-    ).select("a", "b")
-    by_grams = _one_edit(counted)
-
-    # Words that counting cannot filter, probed by their deletions.
-    loose = described.filter(F.col("tau") < MIN_TAU).select("word")
-    reach = loose.agg(F.max(F.char_length("word")).alias("longest"))
-    reachable = vocab.join(F.broadcast(reach), F.char_length("word") <= F.col("longest") + 1).select("word")
-    keys = lambda t: t.select(
-        "word",
-        F.explode(
-            F.array_union(
-                F.array("word"),
-                F.transform(
-                    F.sequence(F.lit(1), F.char_length("word")),
-                    lambda i: F.concat(
-                        F.col("word").substr(F.lit(1), i - 1),
-                        F.col("word").substr(i + 1, F.char_length("word")),
-                    ),
-                ),
+    # A pair may share more than one run or deletion.
+    return _one_edit_apart(listed).unionByName(_one_edit_apart(probed)).distinct()
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    ways = F.array(
+        *[
+            F.struct(
+                F.col(x).alias("word"), F.col(y).alias("near"), F.col(f"{y}_n").alias("near_n")
             )
-        ).alias("key"),
+            for x, y in (("a", "b"), ("b", "a"))
+        ]
     )
-    probed = keys(loose).join(keys(reachable).withColumnRenamed("word", "other"), "key").select(
-        F.col("word").alias("a"), F.col("other").alias("b")
-    ).filter(F.col("a") != F.col("b")).distinct()
-    by_deletions = _one_edit(probed)
+    return pairs.select(F.inline(ways))
+
 
-    one_way = by_grams.unionByName(by_deletions)
-    both = one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return both.distinct()
+def near_pairs(vocab: DataFrame) -> DataFrame:
+    """``a, b``: every pair of words one edit apart, once each way."""
+    return _both_ways(_pairs(vocab)).select(F.col("word").alias("a"), F.col("near").alias("b"))
 
 
 def group_variants(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``word, form, root, n, n_near, form_n`` of every word."""
     vocab = held(words(docs, text, key))
-    pairs = near_pairs(vocab)
-    near = pairs.join(vocab.select(F.col("word").alias("b"), F.col("n").alias("b_n")), "b")
-    best = near.groupBy("a").agg(
+    best = _both_ways(_pairs(vocab)).groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"),
-        F.min_by(F.struct("b", "b_n"), F.struct(-F.col("b_n"), F.col("b"))).alias("top"),
-    )
-    table = vocab.join(best.withColumnRenamed("a", "word"), "word", "left").select(
-        "word",
-        "n",
-        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-        F.when(F.col("top.b_n") >= F.lit(FORM_FACTOR) * F.col("n"), F.col("top.b")).alias("form"),
+        F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("top"),
     )
-    table = held(table)
-    forms = table.select("word", "form", "n")
-    with_n = table.join(
-        forms.select(F.col("word").alias("form"), F.col("n").alias("form_n")), "form", "left"
+    has_form = -F.col("top.less") >= F.lit(FORM_FACTOR) * F.col("n")
+    table = held(
+        vocab.join(best, "word", "left").select(
+            "word",
+            "n",
+            F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+            F.when(has_form, F.col("top.near")).alias("form"),
+            F.when(has_form, -F.col("top.less")).alias("form_n"),
+        )
     )
     # Each step along a chain multiplies the count by FORM_FACTOR at least.
     largest = vocab.agg(F.max("n")).first()[0] or 1
     steps = max(1, math.ceil(math.log(max(largest, 1), FORM_FACTOR)) + 1)
-    rooted = with_n.withColumn("root", F.coalesce("form", "word"))
-    step = forms.filter(F.col("form").isNotNull()).select(
-        F.col("word").alias("root"), F.col("form").alias("next_root")
-    )
-    for _ in range(steps):
-        rooted = held(
-            rooted.join(step, "root", "left")
-            .withColumn("root", F.coalesce("next_root", "root"))
-            .drop("next_root")
+    links = table.filter(F.col("form").isNotNull()).select("word", "form")
+    step = links.select(F.col("word").alias("root"), F.col("form").alias("next_root"))
+    moving = links.withColumnRenamed("form", "root")
+    moved = []
+    for at in range(steps):
+        # Only words whose root so far has a form itself go on.
+        moving = held(moving.join(step, "root").select("word", F.col("next_root").alias("root")))
+        if moving.isEmpty():
+            break
+        moved.append(moving.withColumn("at", F.lit(at)))
+    rooted = table.withColumn("root", F.coalesce("form", "word"))
+    if moved:
+        ends = reduce(DataFrame.unionByName, moved).groupBy("word").agg(
+            F.max_by("root", "at").alias("end")
         )
+        rooted = rooted.join(ends, "word", "left").withColumn("root", F.coalesce("end", "root"))
     return rooted.select(
         "word",
         "form",

@@ -10,6 +10,11 @@ from likeness.session import shared_folder
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWER = "abcdefghijklmnopqrstuvwxyz"
+#: Beyond ASCII and small Latin-1 letters, ``lower`` would change more than A-Z.
+_OTHER_LETTERS = r"[^\x00-\x7F\xDF-\xFF]"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, read whole."""
@@ -22,6 +27,13 @@ def filled(text: Column | str) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+def lower_a_to_z(text: Column) -> Column:
+    """``text`` with A-Z in lower case and every other character as it is."""
+    return F.when(text.rlike(_OTHER_LETTERS), F.translate(text, _UPPER, _LOWER)).otherwise(
+        F.lower(text)
+    )
+
+
 def bound(value: Column, build) -> Column:
     """``build(value)`` with ``value`` computed once.
 

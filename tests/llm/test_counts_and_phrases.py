@@ -3,6 +3,7 @@
 import random
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from brute import collocations_by_hand, spelling_by_hand
@@ -172,3 +173,37 @@ def test_word_lists_are_by_length_and_position(spark):
                     if v in rows and v != w:
                         by_hand |= {(v, w), (w, v)}
     assert pairs == by_hand
+
+
+def test_words_of_a_list_share_runs_of_grams_and_every_pair_does(spark):
+    rng = random.Random(4)
+    stems = ["".join(rng.choice("abcdefgh") for _ in range(n)) for n in (12, 15, 16, 31) for _ in range(30)]
+    near = [w[:i] + c + w[i + k :] for w in stems for i in (0, 3, len(w) // 2, len(w) - 1, len(w)) for c in ("x", "") for k in (0, 1)]
+    # Words that share their rarest grams at the same places, but no run of them.
+    alike = [p + "zqz" + q for p in stems[:30] for q in stems[30:40]]
+    vocab = spark.createDataFrame([(w, 2) for w in {*stems, *near, *alike}], "word string, n long")
+    size = F.char_length("word")
+    listed = (
+        spelling.decompose(vocab, spelling.frequent_grams(vocab))
+        .filter(f"tau >= {spelling.MIN_TAU}")
+        .select("word", spelling._runs(F.col("grams"), size).alias("runs"))
+    )
+    runs = {r.word: set(r.runs) for r in listed.collect()}
+    assert all(len(r) == spelling.MIN_TAU + 1 for r in runs.values())
+    pairs = [(r.a, r.b) for r in spelling.near_pairs(vocab).collect()]
+    both = [(a, b) for a, b in pairs if a in runs and b in runs]
+    assert len(both) > 500 and all(runs[a] & runs[b] for a, b in both)
+    met = sum(len(runs[a] & runs[b]) > 0 for a in runs for b in runs if a < b)
+    assert met < 6 * len(pairs)
+
+
+def test_only_moving_words_are_followed(spark):
+    # Chains of several lengths, a near word below the factor, words of no near word.
+    texts = ["abcdefghij"] * 3000 + ["abcdefghi"] * 290 + ["abcdefgh"] * 28 + ["abcdefg"] * 2
+    texts += ["abcdefgx"] * 5 + ["klmnopqrs"] * 4 + ["tuvwxyzabc"] * 30 + ["tuvwxyzab"] * 3
+    rows = [(None, t) for t in texts] + [(i, "ÀBCDEFGÉ abc\tK" + "lmnopqrsT") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = [(r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in spelling.group_variants(docs).collect()]
+    want = spelling_by_hand([{"doc_id": i, "text": t} for i, t in rows])
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert any(form not in (None, root) for _, form, root, *_ in got)
