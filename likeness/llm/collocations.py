@@ -73,10 +73,12 @@ def windows(
 ) -> DataFrame:
     """``lang, words``: one row per word, the window of ``order`` words from it,
     space-joined; shorter where the piece ends, or left out there if ``whole``."""
-    times = f"{{{order - 1}}}" if whole else f"{{0,{order - 1}}}"
+    words = f"{_LETTER}+"
+    for _ in range(order - 1):
+        words = f"{_LETTER}+ {words}" if whole else f"{_LETTER}+(?: {words})?"
     # The window is looked at from a word's first letter, and that word alone is consumed.
     # Neither words nor spaces hold a piece end, so no window crosses one.
-    window = f"(?<!{_LETTER})(?=({_LETTER}++(?: {_LETTER}++){times})){_LETTER}++"
+    window = f"(?<!{_LETTER})(?=({words})){_LETTER}+"
     return _spaced(docs, text, lang).select(
         "lang", F.explode(F.regexp_extract_all("text", F.lit(window), 1)).alias("words")
     )
@@ -106,7 +108,7 @@ def counts(win: DataFrame, order: int = ORDER, least: int = 1) -> DataFrame:
     taken = lambda k: spaces >= k - 1 if k > 1 else F.lit(True)
     parts = [
         F.when(
-            taken(k) & (F.col("f") >= least) if k == order else taken(k),
+            (F.col("f") >= least) & taken(k) if k == order else taken(k),
             F.struct(F.lit(k).alias("order"), F.substring_index("words", " ", k).alias("phrase")),
         )
         for k in range(order + 1)
